@@ -79,19 +79,22 @@ def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
     return raw, offs - offs[0]
 
 
-def steps(batch: pa.RecordBatch, column: str = "text", size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """batch in slices whose texts have about size bytes."""
-    n = batch.num_rows
+def slices(batch: pa.RecordBatch, place: int, size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """batch in slices whose texts, in the column at place, have about size bytes."""
+    n, at = batch.num_rows, 0
     if not n:
         return
-    _, offs = text_buffer(batch.column(batch.schema.get_field_index(column)))
-    at = 0
+    _, offs = text_buffer(batch.column(place))
     while at < n:
         to = max(at + 1, int(np.searchsorted(offs, offs[at] + size, "right")) - 1)
         yield batch.slice(at, min(to, n) - at)
         at = to
 
 
+def steps(batch: pa.RecordBatch, column: str = "text", size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    return slices(batch, batch.schema.get_field_index(column), size)
+
+
 # ---------------------------------------------------------------- hashing
 
 

@@ -237,19 +237,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, keep_from: float = KEEP_FROM)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in _slices(batch, place):
+            for k in C.slices(batch, place):
                 q = forest.score(statistics(k.column(place))) if forest else np.ones(k.num_rows)
                 yield k.filter(pa.array(q >= keep_from))
 
     return docs.mapInArrow(run, docs.schema)
-
-
-def _slices(batch: pa.RecordBatch, place: int) -> Iterator[pa.RecordBatch]:
-    n, at = batch.num_rows, 0
-    if not n:
-        return
-    _, offs = C.text_buffer(batch.column(place))
-    while at < n:
-        to = max(at + 1, int(np.searchsorted(offs, offs[at] + C.STEP_BYTES, "right")) - 1)
-        yield batch.slice(at, min(to, n) - at)
-        at = to

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import line_dedup, mixing, near_dup, pieces, quality, suffix, token_counts, toxicity
+from granary.llm import line_dedup, mixing, near_dup, ogg, pieces, pii, quality, suffix, token_counts, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,15 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(_docs(spark, sf_dir))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.entities(_docs(spark, sf_dir))
+
+
+def op4_ogg_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No table holds Ogg files, so each page's text is written as one first."""
+    return ogg.demuxed(ogg.media_of(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.repeated_passages(_docs(spark, sf_dir))
 
@@ -49,7 +58,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(_docs(spark, sf_dir))
 
 
-_QUERIES = (op1_quality_trees, op2_source_mixing, op5_suffix_dedup, op6_toxic_spans, op7_line_dedup, op8_token_counts, op9_superminhash, op10_sentencepiece)
+_QUERIES = (op1_quality_trees, op2_source_mixing, op3_personal_data, op4_ogg_packets, op5_suffix_dedup, op6_toxic_spans, op7_line_dedup, op8_token_counts, op9_superminhash, op10_sentencepiece)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -57,4 +66,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_source_mixing": mixing.SQL, "op7_line_dedup": line_dedup.SQL}
+    return {"op2_source_mixing": mixing.SQL, "op4_ogg_packets": ogg.SQL, "op7_line_dedup": line_dedup.SQL}
