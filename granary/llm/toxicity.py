@@ -31,9 +31,11 @@ from granary.llm import common as C
 #: Labelled documents of each class to fit on, at most.
 MAX_LABELLED = 3000
 PREFIXES = (4, 5, 6)
-MIN_DOCS, MIN_LOG_ODDS = 5, 3.0
+MIN_DOCS, MIN_LOG_ODDS = 5, 3.5
 FLAG_FROM = SPAN_FROM = 0.5
 CHUNK, ROUNDS, STEP, DECAY = 64, 80, 0.5, 1e-3
+#: Of the training chunks without any feature one in so many is used.
+PLAIN = 16
 U64 = np.uint64
 
 
@@ -109,65 +111,96 @@ def forward_backward(trans: np.ndarray, doc: np.ndarray, place: np.ndarray, add:
     return both[:, 1] / both.sum(axis=1)
 
 
-def _distinct_texts(raw: np.ndarray, doc: np.ndarray, h: np.ndarray, docs: int) -> np.ndarray:
-    """True for documents of whose word triples less than half were in earlier ones."""
+def signatures(raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Two minima of hashed word triples of each text: near copies have at least one in common, mostly; 0 for short texts."""
+    _, _, doc, h = C.words(raw, offs)
+    out = np.zeros((len(offs) - 1, 2), U64)
+    if len(h) < 3:
+        return out
+    whole = doc[2:] == doc[:-2]
+    triple, of = C.mix(h[:-2] ^ C.mix(h[1:-1] ^ C.mix(h[2:])))[whole], doc[2:][whole]
+    if len(of):
+        first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        out[of[first], 0] = np.minimum.reduceat(triple, first)
+        out[of[first], 1] = np.minimum.reduceat(C.mix(triple), first)
+    return out
+
+
+def distinct_texts(ids: np.ndarray, sig: np.ndarray) -> np.ndarray:
+    """Those ids, in ascending order, that share no signature with one before them."""
     seen: set[int] = set()
-    keep = np.zeros(docs, bool)
-    bounds = np.searchsorted(doc, np.arange(docs + 1))
-    triple = C.mix(h[:-2] ^ C.mix(h[1:-1] ^ C.mix(h[2:]))) if len(h) > 2 else np.zeros(0, U64)
-    for d in range(docs):
-        mine = set(triple[bounds[d] : max(bounds[d], bounds[d + 1] - 2)].tolist())
-        if sum(x in seen for x in mine) * 2 <= len(mine):
-            keep[d] = True
+    keep = []
+    for i, pair in sorted(zip(ids.tolist(), map(tuple, sig.tolist()))):
+        mine = {x for x in pair if x}
+        if not mine & seen:
+            keep.append(i)
         seen |= mine
-    return keep
+    return np.array(keep, np.int64)
 
 
-def fit(texts: pa.Array, toxic: np.ndarray) -> Tagger:
-    raw, offs = C.text_buffer(C.lower(texts))
+def feature_documents(raw: np.ndarray, offs: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, and in how many toxic and other documents each occurs."""
     s, e, doc, h = C.words(raw, offs)
-    new = _distinct_texts(raw, doc, h, len(toxic))
-    ok = new[doc]
-    s, e, doc, h = s[ok], e[ok], doc[ok], h[ok]
-    nothing = Tagger(C.HashIndex(16), np.zeros(0), np.zeros((2, 2)))
-    bad, good = int((toxic[new] == 1).sum()), int((toxic[new] == 0).sum())
-    if not bad or not good or not len(h):
-        return nothing
-    f = features(raw, s, e, h)
-    pair_doc, pair = np.repeat(doc, f.shape[1]), f.reshape(-1)
-    pair_doc, pair = pair_doc[pair != 0], pair[pair != 0]
-    order = np.lexsort((pair_doc, pair))
-    pair_doc, pair = pair_doc[order], pair[order]
-    once = np.concatenate([[True], (pair[1:] != pair[:-1]) | (pair_doc[1:] != pair_doc[:-1])])
-    kinds, number = np.unique(pair[once], return_inverse=True)
-    in_bad = np.bincount(number, toxic[pair_doc[once]] == 1, len(kinds))
-    in_good = np.bincount(number, toxic[pair_doc[once]] == 0, len(kinds))
+    if not len(h):
+        return h, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    o = np.lexsort((h, doc))
+    o = o[np.concatenate([[True], (doc[o][1:] != doc[o][:-1]) | (h[o][1:] != h[o][:-1])])]
+    f = features(raw, s[o], e[o], h[o])
+    d, f = np.repeat(doc[o], f.shape[1]), f.reshape(-1)
+    d, f = d[f != 0], f[f != 0]
+    o = np.lexsort((d, f))
+    d, f = d[o], f[o]
+    once = np.concatenate([[True], (f[1:] != f[:-1]) | (d[1:] != d[:-1])])
+    d, f = d[once], f[once]
+    first = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
+    bad = np.add.reduceat((toxic[d] == 1).astype(np.int64), first)
+    return f[first], bad, np.diff(np.append(first, len(f))) - bad
+
+
+def chosen(f: np.ndarray, in_bad: np.ndarray, in_good: np.ndarray, bad: int, good: int) -> np.ndarray:
     odds = np.log((in_bad + 0.5) / (bad + 1)) - np.log((in_good + 0.5) / (good + 1))
-    pure = kinds[(in_bad >= min(MIN_DOCS, max(1, bad // 2))) & (odds >= MIN_LOG_ODDS)]
-    if not len(pure):
-        return nothing
-    table = C.HashIndex(16)
-    table.add(pure)
+    return np.sort(f[(in_bad >= min(MIN_DOCS, max(1, bad // 2))) & (odds >= MIN_LOG_ODDS)])
+
+
+def training_chunks(raw: np.ndarray, offs: np.ndarray, toxic: np.ndarray, table: C.HashIndex, ids: np.ndarray) -> tuple[list, list, list, list, list]:
+    """Chunks of CHUNK tokens that have features, and a hashed share of others: length, and of their tokens with features place, label, numbers and first bytes."""
+    s, e, doc, h = C.words(raw, offs)
+    out: tuple[list, list, list, list, list] = ([], [], [], [], [])
+    if not len(h):
+        return out
+    f = features(raw, s, e, h)
     n = table.get(f.reshape(-1)).reshape(f.shape)
     n[f == 0] = -1
     has = (n >= 0).any(axis=1)
-    y = has & (toxic[doc] == 1)
-    # chunks of a document's tokens as training sequences: all with a label 1, and as many others
     place = np.arange(len(doc)) - np.searchsorted(doc, doc)
-    chunk = np.cumsum(np.concatenate([[True], (doc[1:] != doc[:-1]) | (place[1:] % CHUNK == 0)])) - 1
-    wanted = np.zeros(chunk[-1] + 1, bool)
-    wanted[chunk[y]] = True
-    clean = np.flatnonzero(~wanted)
-    wanted[clean[np.argsort(C.mix(clean.astype(U64)), kind="stable")[: int(wanted.sum()) + 50]]] = True
-    names = np.cumsum(wanted) - 1
-    use = wanted[chunk]
-    row, col = names[chunk[use]], place[use] % CHUNK
-    shape = (int(wanted.sum()), CHUNK)
-    label, real = np.zeros(shape, np.int64), np.zeros(shape, bool)
-    label[row, col], real[row, col] = y[use], True
-    ids = n[use]
-    w, t = np.zeros(len(pure)), np.zeros((2, 2))
-    scale_w, scale_t = np.full(len(pure), 1e-6), np.full((2, 2), 1e-6)
+    start = np.flatnonzero(place % CHUNK == 0)
+    end = np.append(start[1:], len(doc))
+    with_some = np.add.reduceat(has.astype(np.int64), start) > 0
+    spare = C.mix(C.mix(ids[doc[start]].astype(U64)) + place[start].astype(U64)) % U64(PLAIN) == 0
+    for a, b in zip(start[with_some | spare].tolist(), end[with_some | spare].tolist()):
+        k = a + np.flatnonzero(has[a:b])
+        out[0].append(b - a)
+        out[1].append((k - a).tolist())
+        out[2].append((toxic[doc[k]] == 1).astype(int).tolist())
+        out[3].append(n[k].reshape(-1).tolist())
+        out[4].append([int.from_bytes(raw[s[x] : min(s[x] + 4, e[x])].tobytes().ljust(4, b"\0"), "little") for x in k.tolist()])
+    return out
+
+
+def trained(table: C.HashIndex, chunks: tuple[list, list, list, list, list]) -> Tagger:
+    """Maximum likelihood, by gradient steps of adaptive size over all chunks."""
+    length, places, labels, numbers, heads = chunks
+    count = np.array([len(p) for p in places])
+    row = np.repeat(np.arange(len(length)), count)
+    col = np.array([x for p in places for x in p], np.int64)
+    y = np.array([x for p in labels for x in p], np.int64)
+    ids = np.array([x for p in numbers for x in p], np.int64).reshape(len(col), -1)
+    shape = (len(length), CHUNK)
+    real = np.arange(CHUNK)[None, :] < np.array(length)[:, None]
+    label = np.zeros(shape, np.int64)
+    label[row, col] = y
+    w, t = np.zeros(table.n), np.zeros((2, 2))
+    scale_w, scale_t = np.full(table.n, 1e-6), np.full((2, 2), 1e-6)
     seen = np.zeros((2, 2))
     inner = real[:, 1:]
     np.add.at(seen, (label[:, :-1][inner], label[:, 1:][inner]), 1)
@@ -176,15 +209,36 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> Tagger:
         add = np.zeros(shape)
         add[row, col] = np.where(ids >= 0, w[ids], 0.0).sum(axis=1)
         p1, pairs = _dense(t, add, real)
-        miss = (label - p1)[row, col] / total * 100
+        miss = (y - p1[row, col]) / total * 100
         gw = np.bincount(ids[ids >= 0], np.broadcast_to(miss[:, None], ids.shape)[ids >= 0], len(w)) - DECAY * w
         gt = (seen - pairs) / total * 100 - DECAY * t
         scale_w += gw**2
         scale_t += gt**2
         w += STEP * gw / np.sqrt(scale_w)
         t += STEP * gt / np.sqrt(scale_t)
-    head = np.unique(np.frombuffer(b"".join(raw[a : min(a + 4, b)].tobytes().ljust(4, b"\0") for a, b in zip(s[has].tolist(), e[has].tolist())), np.uint32))
-    return Tagger(table, w, t, head)
+    return Tagger(table, w, t, np.unique(np.array([x for p in heads for x in p], np.uint32)))
+
+
+def nothing() -> Tagger:
+    return Tagger(C.HashIndex(16), np.zeros(0), np.zeros((2, 2)))
+
+
+def fit(texts: pa.Array, toxic: np.ndarray) -> Tagger:
+    """The model of labelled texts in one process; fitted() does the same on a table."""
+    raw, offs = C.text_buffer(C.lower(texts))
+    ids = np.arange(len(toxic))
+    keep = distinct_texts(ids, signatures(raw, offs))
+    texts, toxic, ids = texts.take(pa.array(keep)), toxic[keep], ids[keep]
+    raw, offs = C.text_buffer(C.lower(texts))
+    bad, good = int((toxic == 1).sum()), int((toxic == 0).sum())
+    if not bad or not good:
+        return nothing()
+    pure = chosen(*feature_documents(raw, offs, toxic), bad, good)
+    if not len(pure):
+        return nothing()
+    table = C.HashIndex(16)
+    table.add(pure)
+    return trained(table, training_chunks(raw, offs, toxic, table, ids))
 
 
 def _dense(t: np.ndarray, add: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,14 +266,57 @@ def _dense(t: np.ndarray, add: np.ndarray, real: np.ndarray) -> tuple[np.ndarray
 
 
 def fitted(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> Tagger:
+    """The model of at most bound labelled documents of each class; texts stay with the executors."""
     some = C.same_names(labels, "doc_id", "toxic").filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     order = [F.xxhash64("doc_id", F.lit(13)), "doc_id"]
     picked = some.filter("toxic = 1").orderBy(*order).limit(bound).union(some.filter("toxic = 0").orderBy(*order).limit(bound))
-    found = C.same_names(docs, "doc_id", "text").join(F.broadcast(picked), "doc_id").toArrow()  # the bound is the check of its size
-    found = found.sort_by([("doc_id", "ascending")])
-    if not found.num_rows:
-        return Tagger(C.HashIndex(16), np.zeros(0), np.zeros((2, 2)))
-    return fit(found["text"].combine_chunks(), found["toxic"].to_numpy())
+    sample = C.written(C.same_names(docs, "doc_id", "text").join(F.broadcast(picked), "doc_id"))  # the bound is the check of its size
+
+    def over(f, schema: str) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in C.steps(batch):
+                    yield f(part.column(0).to_numpy(), *C.text_buffer(C.lower(part.column(1))), part.column(2).to_numpy())
+
+        return sample.mapInArrow(run, schema)
+
+    def signed(ids, raw, offs, toxic):
+        sig = signatures(raw, offs).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(toxic), pa.array(sig[:, 0]), pa.array(sig[:, 1])], names=["doc_id", "toxic", "a", "b"])
+
+    known = over(signed, "doc_id bigint, toxic int, a bigint, b bigint").toArrow()
+    ids = known["doc_id"].to_numpy()
+    keep = distinct_texts(ids, np.column_stack([known["a"].to_numpy(), known["b"].to_numpy()]).astype(np.int64)) if len(ids) else ids
+    toxic = known["toxic"].to_numpy()[np.isin(ids, keep)]
+    bad, good = int((toxic == 1).sum()), int((toxic == 0).sum())
+    if not bad or not good:
+        return nothing()
+
+    def kept(ids, raw, offs, toxic):
+        on = np.flatnonzero(np.isin(ids, keep))
+        lengths = np.diff(offs)[on]
+        row, within = C.ragged(lengths)
+        return ids[on], raw[offs[on][row] + within], np.concatenate([[0], np.cumsum(lengths)]), toxic[on]
+
+    def counted(*batch):
+        _, raw, offs, toxic = kept(*batch)
+        f, a, b = feature_documents(raw, offs, toxic)
+        return pa.RecordBatch.from_arrays([pa.array(f.view(np.int64)), pa.array(a), pa.array(b)], names=["f", "bad", "good"])
+
+    counts = over(counted, "f bigint, bad bigint, good bigint").groupBy("f").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter(F.col("bad") >= min(MIN_DOCS, max(1, bad // 2))).filter("bad > good").toArrow()
+    pure = chosen(counts["f"].to_numpy().view(U64), counts["bad"].to_numpy(), counts["good"].to_numpy(), bad, good)
+    if not len(pure):
+        return nothing()
+    table = C.HashIndex(16)
+    table.add(pure)
+
+    def cut_up(*batch):
+        ids, raw, offs, toxic = kept(*batch)
+        found = training_chunks(raw, offs, toxic, table, ids)
+        return pa.RecordBatch.from_arrays([pa.array(found[0], pa.int32()), *[pa.array(x, pa.list_(pa.int64())) for x in found[1:]]], names=["length", "places", "labels", "numbers", "heads"])
+
+    chunks = over(cut_up, "length int, places array<bigint>, labels array<bigint>, numbers array<bigint>, heads array<bigint>").orderBy("length", "places", "numbers", "heads").toArrow()
+    return trained(table, tuple(chunks[c].to_pylist() for c in chunks.column_names))
 
 
 def tag(column: pa.Array, model: Tagger) -> tuple[np.ndarray, ...]:
