@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-FLAGSHIP = "str_01_word_count"
+from granary.plans import base, gate, relational, scalars  # noqa: F401  (they register their queries)
+
+FLAGSHIP = "agg_01_status_counts"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(base.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(base.SQL)
