@@ -6,6 +6,7 @@ through unless an operator's docstring says otherwise.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Bytes of text that one vectorised step handles; a longer document is a step of its own.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 19
 #: A side of a join is broadcast up to this size, beyond it the join shuffles.
 BROADCAST_BYTES = 32 << 20
 
@@ -61,6 +62,14 @@ def same_names(df: DataFrame, *wanted: str) -> DataFrame:
     return df.select(*[df[f"`{c}`"].alias(c) for c in wanted])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, or a longer one that df has no column of."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 # ---------------------------------------------------------------- Arrow buffers
 
 
@@ -89,6 +98,15 @@ def slices(batch: pa.RecordBatch, place: int, size: int = STEP_BYTES) -> Iterato
         to = max(at + 1, int(np.searchsorted(offs, offs[at] + size, "right")) - 1)
         yield batch.slice(at, min(to, n) - at)
         at = to
+    give_back()
+
+
+def give_back() -> None:
+    """Return what the allocators have free to the system: a worker that is used again keeps nothing from its last task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def steps(batch: pa.RecordBatch, column: str = "text", size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from granary.llm import common as C
 
 #: Units that a worker's cache holds at most; a full cache starts anew, which costs time and changes nothing.
-CACHED_UNITS = 1 << 20
+CACHED_UNITS = 1 << 18
 
 
 def code_points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
