@@ -70,10 +70,12 @@ def removed_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def without_units(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """docs with the removed units cut out of text (line ends stay between what is left); rows and columns are kept."""
-    spans = removed.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_gr_spans"))
+    key, spans_ = C.fresh(docs, "_gr_id"), C.fresh(docs, "_gr_spans")
+    spans = removed.groupBy(F.col("doc_id").alias(key)).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias(spans_))
     cutter = F.udf(cut_out, T.StringType())
-    out = docs.join(spans, "doc_id", "left")
-    return out.withColumn("text", F.when(F.col("_gr_spans").isNull(), F.col("text")).otherwise(cutter("text", "_gr_spans"))).select(*[f"`{c}`" for c in docs.columns])
+    new = F.when(F.col(spans_).isNull(), docs["text"]).otherwise(cutter(docs["text"], F.col(spans_)))
+    out = docs.join(spans, docs["doc_id"] == F.col(key), "left")
+    return out.select(*[new.alias("text") if c == "text" else docs[f"`{c}`"] for c in docs.columns])
 
 
 def cut_out(text: str | None, spans: list) -> str | None:

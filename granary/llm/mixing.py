@@ -11,7 +11,8 @@ copies are capped.
 
 Nulls and edges: a null source is a source of its own; a null doc_id is hashed as the word null; a null text is
 copied as it is; equal rows draw the same count; a source missing from ``weights`` has ``default`` weight, a
-weight of 0 drops it; extra columns are carried; an empty table gives no rows.
+weight of 0 drops it; extra columns are carried, but for one named ``copy``, which the number of the copy
+replaces; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -47,22 +48,24 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, defau
     ln_fact = F.array(*[F.lit(math.lgamma(k + 1)) for k in range(TERMS)])
     pmf = F.transform(ln_fact, lambda f, k: F.exp(k * F.ln("mean") - F.col("mean") - f))
     cdf = F.aggregate(pmf, F.array().cast("array<double>"), lambda acc, p: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + p)))
-    return rate.select("_gr_source", "rate", "pieces", F.when(F.col("mean") > 0, cdf).otherwise(F.array_repeat(F.lit(1.0), 1)).alias("cdf"))
+    return rate.select("_gr_source", F.col("rate").alias("_gr_rate"), F.col("pieces").alias("_gr_pieces"), F.when(F.col("mean") > 0, cdf).otherwise(F.array_repeat(F.lit(1.0), 1)).alias("_gr_cdf"))
 
 
 def replicate(docs: DataFrame, weights: dict[str, float] | None = None, default: float = 1.0, seed: int = SEED, shuffle: bool = True) -> DataFrame:
     """docs with a column ``copy`` (0, 1, ...), each row as often as its draw says, in a global random order."""
     rates = C.cut(source_rates(docs, weights, default))
-    key = [F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))]
-    draws = F.transform(F.sequence(F.lit(1), F.col("pieces")), lambda p: F.size(F.filter(F.col("cdf"), lambda c: c <= _uniform(*key, p.cast("string")))))
-    joined = docs.join(C.broadcast_if_small(rates, 8 * TERMS + 64), docs["source"].eqNullSafe(F.col("_gr_source")))
+    key = [F.lit(str(seed)), F.coalesce(docs["doc_id"].cast("string"), F.lit("null"))]
+    draws = F.transform(F.sequence(F.lit(1), rates["_gr_pieces"]), lambda p: F.size(F.filter(rates["_gr_cdf"], lambda c: c <= _uniform(*key, p.cast("string")))))
+    joined = docs.join(C.broadcast_if_small(rates, 8 * TERMS + 64), docs["source"].eqNullSafe(rates["_gr_source"]))
     count = F.aggregate(draws, F.lit(0), lambda a, b: a + b)
-    out = joined.withColumn("_gr_n", count).filter("_gr_n > 0")
-    out = out.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_gr_n") - 1))).select(*[docs[f"`{c}`"] for c in docs.columns], "copy")
+    kept = [docs[f"`{c}`"] for c in docs.columns if c != "copy"]
+    n, place = C.fresh(docs, "_gr_n"), C.fresh(docs, "_gr_place")
+    out = joined.select(*kept, count.alias(n)).filter(F.col(n) > 0)
+    out = out.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col(n) - 1))).drop(n)
     if not shuffle:
         return out
-    place = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("copy"))
-    return out.withColumn("_gr_place", place).repartition("_gr_place").sortWithinPartitions("_gr_place").drop("_gr_place")
+    out = out.withColumn(place, F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("copy")))
+    return out.repartition(F.col(place)).sortWithinPartitions(place).drop(place)
 
 
 SQL = f"""

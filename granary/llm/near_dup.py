@@ -167,13 +167,14 @@ def near_duplicate_groups(docs: DataFrame, threshold: float = THRESHOLD) -> Data
 
 def keep_one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs without the members of groups that aren't kept, and with one row for rows of equal doc_id and text."""
-    gone = near_duplicate_groups(docs, threshold).filter("not keep").select(F.col("doc_id").alias("_gr_id"), F.lit(True).alias("_gr_gone"))
-    twice = C.same_names(docs, "doc_id").groupBy(F.col("doc_id").alias("_gr_id")).count().filter("count > 1 and _gr_id is not null").select("_gr_id", F.lit(False).alias("_gr_gone"))
-    said = C.cut(gone.union(twice.join(gone, "_gr_id", "left_anti")))
-    marked = docs.join(C.broadcast_if_small(said, 16), docs["doc_id"] == F.col("_gr_id"), "left")
+    key, gone_, nth = (C.fresh(docs, c) for c in ("_gr_id", "_gr_gone", "_gr_nth"))
+    gone = near_duplicate_groups(docs, threshold).filter("not keep").select(F.col("doc_id").alias(key), F.lit(True).alias(gone_))
+    twice = C.same_names(docs, "doc_id").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("twice")).filter(F.col("twice") > 1).filter(F.col(key).isNotNull()).select(key, F.lit(False).alias(gone_))
+    said = C.cut(gone.union(twice.join(gone, key, "left_anti")))
+    marked = docs.join(C.broadcast_if_small(said, 16), docs["doc_id"] == F.col(key), "left")
     names = [docs[f"`{c}`"] for c in docs.columns]
-    single = marked.filter("_gr_gone is null").select(*names)
+    single = marked.filter(F.col(gone_).isNull()).select(*names)
     # rows whose doc_id occurs twice: one row for each text
     first = Window.partitionBy(docs["doc_id"], docs["text"]).orderBy(F.lit(1))
-    double = marked.filter("_gr_gone = false").withColumn("_gr_nth", F.row_number().over(first)).filter("_gr_nth = 1").select(*names)
+    double = marked.filter(~F.col(gone_)).withColumn(nth, F.row_number().over(first)).filter(F.col(nth) == 1).select(*names)
     return single.union(double)

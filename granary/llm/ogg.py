@@ -230,7 +230,7 @@ class Writer:
             mine = flags & ~LAST if k + 255 < len(lacing) else flags
             if k:
                 mine = (mine & ~FIRST) | (CONTINUED if lacing[k - 1] == 255 else 0)
-            out.append(page_bytes(mine, granule if k + 255 >= len(lacing) or any(v < 255 for v in values) else -1, self.serial, self.number, values, body[at : at + size]))
+            out.append(page_bytes(mine, granule if k + 255 >= len(lacing) else -1, self.serial, self.number, values, body[at : at + size]))
             self.number += 1
             at += size
         return out
