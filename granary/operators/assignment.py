@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from granary.functions.values import hash_bucket
+from granary.lineage import cut
 
 SPLITS = ("train", "validation", "test")
 
@@ -44,7 +45,7 @@ def splits(rows: DataFrame, group: str, train: float = 0.8, validation: float =
     """(group, n, split): all rows of a group in one split, groups of a size in an order hashed from the seed."""
     spark = rows.sparkSession
     order = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(group).cast("string")), 256)
-    groups = rows.groupBy(group).agg(F.count("*").alias("n")).withColumn("_gr_nth", F.row_number().over(Window.partitionBy("n").orderBy(order, group))).checkpoint()
+    groups = cut(rows.groupBy(group).agg(F.count("*").alias("n")).withColumn("_gr_nth", F.row_number().over(Window.partitionBy("n").orderBy(order, group))))
     histogram = [(r[0], r[1]) for r in groups.groupBy("n").count().collect()]  # one row for each size
     runs = split_runs(histogram, split_targets(sum(s * c for s, c in histogram), train, validation))
     table = spark.createDataFrame(pd.DataFrame(runs or [(0, 0, 0, "")], columns=["_gr_size", "_gr_from", "_gr_to", "split"]))

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from granary.lineage import cut
+
 THRESHOLD, LEAST_TOKENS = 0.8, 8
 
 
@@ -20,7 +22,7 @@ def similar_pairs(rows: DataFrame, threshold: float = THRESHOLD, least_tokens: i
 
     least_tokens: rows with fewer tokens never are b.
     """
-    sets = rows.select("key", "rank", "tokens", F.size("tokens").alias("n"))
+    sets = cut(rows.select("key", "rank", "tokens", F.size("tokens").alias("n")))  # read four times below
     each = sets.select("key", "rank", "n", F.explode("tokens").alias("token"))
     often = each.groupBy("token").agg(F.count("*").alias("often"))
     ordered = each.join(often, "token").groupBy("key", "rank", "n").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("ordered"))
@@ -40,14 +42,14 @@ def similar_pairs(rows: DataFrame, threshold: float = THRESHOLD, least_tokens: i
 
 def dropped(pairs: DataFrame) -> DataFrame:
     """Keys (b) that the greedy choice drops, with the kept neighbour of least key they go for."""
-    edges = pairs.select("a", "b").distinct().checkpoint()
-    state = edges.select(F.col("a").alias("key")).union(edges.select("b")).distinct().select("key", F.lit(None).cast("boolean").alias("kept")).checkpoint()
+    edges = cut(pairs.select("a", "b").distinct())
+    state = cut(edges.select(F.col("a").alias("key")).union(edges.select("b")).distinct().select("key", F.lit(None).cast("boolean").alias("kept")))
     open_before = -1
     while True:
         a, b = state.select(F.col("key").alias("a"), F.col("kept").alias("ka")), state.select(F.col("key").alias("b"), F.col("kept").alias("kb"))
         above = edges.join(a, "a").groupBy("b").agg(F.max(F.coalesce("ka", F.lit(False))).alias("some"), F.min((F.col("ka").isNotNull()).cast("int")).alias("known"))
         new = F.when(F.col("kb").isNotNull(), F.col("kb")).when(F.col("some").isNull(), True).when(F.col("some"), False).when(F.col("known") == 1, True)
-        state = b.join(above, "b", "left").select(F.col("b").alias("key"), new.alias("kept")).checkpoint()
+        state = cut(b.join(above, "b", "left").select(F.col("b").alias("key"), new.alias("kept")))
         left = state.filter("kept is null").count()
         if left in (0, open_before):
             break

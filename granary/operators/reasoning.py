@@ -6,7 +6,7 @@ followed by the final answer. ``issues`` lists what is wrong with it in the orde
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import text as X
@@ -48,24 +48,30 @@ def _references(c: Column) -> Column:
     return F.array_sort(F.array_distinct(F.regexp_extract_all(c, F.lit(REFERENCE), F.lit(1))))
 
 
-def parts(response: Column) -> dict[str, Column]:
-    block = F.regexp_extract(response, BLOCK, 1)
+def parts(response: Column, block: Column | None = None) -> dict[str, Column]:
+    block = F.regexp_extract(response, BLOCK, 1) if block is None else block
     lead = lambda p, name: F.transform(_all(block, p, 1), lambda n: F.concat(F.lit(name), n))
     return {"block": block, "E": lead(EVIDENCE, "E"), "A": lead(ANALYSIS, "A"), "C": lead(CONCLUSION, "C"), "CV": lead(CAVEAT, "CV"), "sure": lead(CONFIDENT, "C")}
 
 
-def steps(response: Column) -> Column:
-    p = parts(response)
-    return F.size(p["E"]) + F.size(p["A"]) + F.size(p["C"]) + F.size(p["CV"])
+def prepared(rows: DataFrame, response: str = "response") -> tuple[DataFrame, dict[str, Column]]:
+    """rows with the parts of the response as columns, so each is extracted once however often a check looks at it."""
+    names = {k: f"_gr_{k}" for k in ("block", "E", "A", "C", "CV", "sure")}
+    rows = rows.withColumn(names["block"], F.regexp_extract(F.col(response), BLOCK, 1))
+    p = parts(F.col(response), F.col(names["block"]))
+    return rows.withColumns({names[k]: p[k] for k in list(names)[1:]}), {k: F.col(n) for k, n in names.items()}
 
 
 def _twice(ids: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(ids, lambda x: F.size(F.filter(ids, lambda y: y == x)) > 1)))
 
 
-def issues(response: Column, least: int | None = 4, most: int | None = 24, strict: bool = True) -> Column:
-    """All issues of a response. strict: tags on their own lines, known lines only, confidences, and a final answer."""
-    p = parts(response)
+def issues(response: Column, least: int | None = 4, most: int | None = 24, strict: bool = True, p: dict[str, Column] | None = None) -> Column:
+    """All issues of a response. strict: tags on their own lines, known lines only, confidences, and a final answer.
+
+    p: the response's parts, from prepared().
+    """
+    p = p or parts(response)
     block, e, a, c, cv = p["block"], p["E"], p["A"], p["C"], p["CV"]
     n = F.size(e) + F.size(a) + F.size(c) + F.size(cv)
     found: list[Column] = []

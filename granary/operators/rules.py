@@ -126,11 +126,12 @@ def decided(rows: DataFrame, policy: dict) -> DataFrame:
     """rows with issues, quality_status, final_answer and the scores; null scores where the source document is missing."""
     c = F.col
     rows = rows.withColumn("final_answer", X.final_answer(c("response"))).withColumn("_gr_corpus", I.source_corpus(c("doc_title"), c("doc_url"), c("doc_text"), c("doc_metadata")))
+    rows, parts = R.prepared(rows)
     output = output_text(c("instruction"), c("response"), c("mitre_techniques"), c("atlas_techniques"), c("tools_referenced"))
     checks = F.concat(
         mismatch(c("source"), c("doc_source")), category(c("category"), list(policy["signals"])), taxonomy(c("taxonomy_refs"), policy["taxonomy"]),
         mapping_ids(c("mitre_techniques"), c("atlas_techniques"), c("response"), policy["attack_ids"], policy["atlas_ids"]),
-        tools(c("tools_referenced"), c("_gr_corpus"), policy["tools"]), R.issues(c("response")), grounding(c("grounding"), c("response")), invented(output, c("_gr_corpus"), c("grounding")),
+        tools(c("tools_referenced"), c("_gr_corpus"), policy["tools"]), R.issues(c("response"), p=parts), grounding(c("grounding"), c("response")), invented(output, c("_gr_corpus"), c("grounding")),
     )
     gone = F.array(R.issue("source_missing", "reject", F.concat(F.lit("no document "), c("source_doc_id"))))
     rows = rows.withColumn("issues", F.when(c("doc_source").isNull(), gone).otherwise(checks)).withColumn("quality_status", status(c("issues")))
@@ -144,4 +145,4 @@ def decided(rows: DataFrame, policy: dict) -> DataFrame:
     there = c("doc_source").isNotNull()
     rows = rows.withColumns({k: F.when(there, v) for k, v in scored.items()})
     total = sum((c(k) * w for k, w in WEIGHTS.items()), F.lit(0.0)) / sum(WEIGHTS.values())
-    return rows.withColumn("score_total", F.round(total, 3)).drop("_gr_corpus")
+    return rows.withColumn("score_total", F.round(total, 3)).drop("_gr_corpus", *[f"_gr_{k}" for k in parts])

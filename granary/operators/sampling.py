@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from granary.lineage import cut
+
 
 def keep_first(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
     """One row of each key, the first in order; min_by-like, so no partition is sorted as a whole."""
@@ -51,7 +53,7 @@ def top_k_restored(rows: DataFrame, group: list[str], score: list[Column], index
 def numbered(rows: DataFrame, order: list, name: str, spread: int = 0) -> DataFrame:
     """rows with their global number from 1 in this order: ranges are sorted apart and their sizes added up."""
     parts = spread or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_gr_m", F.monotonically_increasing_id()).checkpoint()
+    rows = cut(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_gr_m", F.monotonically_increasing_id()))
     part = F.shiftright("_gr_m", 33)
     sizes = rows.groupBy(part.alias("_gr_p")).agg(F.count("*").alias("_gr_c"))
     before = sizes.withColumn("_gr_b", F.coalesce(F.sum("_gr_c").over(Window.orderBy("_gr_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_gr_c")

@@ -10,6 +10,7 @@ from granary.operators import assignment, balance, neardup, packaging, rules
 from granary.plans.base import SQL, candidates, query, sql_decisions, sql_tokens, table
 from granary.plans.policy import CATEGORY_TARGETS, DIFFICULTY_TARGETS, POLICY, TAXONOMY
 
+C = F.col
 DECIDED = sql_decisions()
 CODES = {"n_mismatch": "source_mismatch", "n_category": "category_invalid", "n_taxonomy": "taxonomy_invalid", "n_attack": "attack_id_invalid", "n_atlas": "atlas_id_invalid", "n_mapping": "mapping_inconsistency", "n_tools": "tool_name_unknown", "links": "reasoning_links_invalid", "too_long": "reasoning_too_long", "n_grounding": "grounding_mismatch", "n_invented": "invented_indicator"}
 SCORES = [*rules.WEIGHTS, "score_total"]
@@ -30,9 +31,9 @@ def val_00_row_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "quality_status", *_counts(rows, CODES | {"n_missing": "source_missing"}), *SCORES)
 
 
-@query(DECIDED + "SELECT source, quality_status, count(*) AS n, round(avg(CASE WHEN NOT gone THEN score_total END), 4) AS mean_score FROM decided GROUP BY ALL")
+@query(DECIDED + "SELECT source, quality_status, count(*) AS n, sum(CASE WHEN NOT gone THEN round(score_total * 1000, 0)::BIGINT END)::DOUBLE / (count(CASE WHEN NOT gone THEN 1 END) * 1000)::DOUBLE AS mean_score FROM decided GROUP BY ALL")
 def agg_01_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decisions(spark, sf_dir).groupBy("source", "quality_status").agg(F.count("*").alias("n"), F.round(F.avg("score_total"), 4).alias("mean_score"))
+    return decisions(spark, sf_dir).groupBy("source", "quality_status").agg(F.count("*").alias("n"), (F.sum(F.round(C("score_total") * 1000).cast("bigint")).cast("double") / (F.count("score_total") * 1000).cast("double")).alias("mean_score"))
 
 
 def _rule(name: str, columns: dict[str, str]):
