@@ -1,0 +1,94 @@
+"""Documents made shorter for prompts: what matters most is chosen by score and put back in its order.
+
+Markdown is cut into blocks and scored as arrays of structs; documents of sources without rules of their own lose
+their middle. A document that would not become shorter stays as it is.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from granary.functions import text as X
+from granary.functions import values as V
+
+NOTE = "_Shortened from its source document._"
+
+
+def headed(c: Column, mark: str = "## ") -> Column:
+    """Array of (heading, body) of the sections under a mark, in order; what comes before the first has no heading."""
+    parts = F.split(F.concat(F.lit("\n"), c), "\n" + mark.replace("#", "[#]"))
+    return F.transform(parts, lambda p, i: F.struct(F.when(i > 0, X.strip(F.substring_index(p, "\n", 1))).alias("heading"), X.strip(F.when(i == 0, p).when(F.contains(p, F.lit("\n")), F.regexp_replace(p, r"\A[^\n]*\n", "")).otherwise("")).alias("body")))
+
+
+def body(sections: Column, heading: str) -> Column:
+    """Bodies of all sections of this heading, empty ones left out."""
+    return F.array_join(F.filter(F.transform(F.filter(sections, lambda s: s["heading"] == heading), lambda s: s["body"]), lambda b: b != ""), "\n\n")
+
+
+def best(items: Column, score, k: int) -> Column:
+    """The k items of an array that score most, ties to the first, in the array's order. score: item to a sortable column."""
+    scored = F.transform(items, lambda x, i: F.struct(score(x).alias("s"), (-i).alias("i"), x.alias("x")))
+    top = F.slice(F.reverse(F.array_sort(scored)), 1, k)
+    restored = F.array_sort(F.transform(top, lambda t: F.struct((-t["i"]).alias("i"), t["x"].alias("x"))))
+    return F.transform(restored, lambda t: t["x"])
+
+
+def _bullet_lines(c: Column) -> Column:
+    return F.filter(X.lines(c), lambda x: F.startswith(x, F.lit("- ")))
+
+
+def _shorter(made: Column, original: Column) -> Column:
+    return F.when(F.length(made) < F.length(original), made).otherwise(original)
+
+
+CONCRETE = r"(?i)`[^`]+`|\\|\.(?:exe|dll|ps1|bat|sh|py)\b|CVE-\d{4}|\b\d{1,3}(?:\.\d{1,3}){3}\b"
+ACTIONS = r"(?i)\b(?:created|deleted|disabled|downloaded|dumped|executed|injected|modified|used|wrote)\b"
+
+
+def attack(c: Column, procedures: int = 18, mitigations: int = 8, detections: int = 5, each: int = 420) -> Column:
+    """A technique with its most concrete procedures: an indicator counts 4, an action verb and over 220 characters 1 each."""
+    s = headed(c)
+    score = lambda x: F.when(F.regexp_like(x, F.lit(CONCRETE)), 4).otherwise(0) + F.when(F.regexp_like(x, F.lit(ACTIONS)), 1).otherwise(0) + F.when(F.length(x) > 220, 1).otherwise(0)
+    chosen = F.transform(best(_bullet_lines(body(s, "Procedures")), score, procedures), lambda x: X.limited(x, each))
+    listed = lambda name, k: F.transform(F.slice(_bullet_lines(body(s, name)), 1, k), lambda x: X.limited(x, each))
+    part = lambda name, a: F.when(F.size(a) > 0, F.concat(F.lit(f"## {name}\n"), F.array_join(a, "\n")))
+    made = F.concat_ws("\n\n", F.element_at(s, 1)["body"], F.concat(F.lit("## Description\n"), X.limited(body(s, "Description"), 2400)), part("Procedures", chosen), part("Mitigations", listed("Mitigations", mitigations)), part("Detections", listed("Detections", detections)), F.lit(NOTE))
+    return _shorter(made, c)
+
+
+def _label(block: Column, name: str) -> Column:
+    return F.regexp_extract(block, rf"(?m)^- \*\*{name}[^*]*\*\*: (.*)$", 1)
+
+
+def kev(c: Column, entries: int = 20, each: int = 760) -> Column:
+    """A vendor's catalogue with the entries that ransomware uses first, then the latest added, then the earliest due."""
+    s = headed(c)
+    blocks = F.transform(F.filter(headed(body(s, "Details"), "### "), lambda b: b["heading"].isNotNull()), lambda b: F.concat(F.lit("### "), b["heading"], F.lit("\n"), b["body"]))
+
+    def score(b: Column) -> Column:
+        added, due = V.iso_date(_label(b, "Date Added")), V.iso_date(_label(b, "Due Date"))
+        rank = F.when(F.lower(_label(b, "(?:Linked to )?Ransomware")) == "yes", 10_000).otherwise(0) + F.coalesce(V.ordinal(added), F.lit(0))
+        return F.struct(rank.alias("r"), F.coalesce(V.ordinal(due), F.lit(0)).alias("d"))
+
+    chosen = F.transform(best(blocks, score, entries), lambda b: X.limited(b, each))
+    made = F.concat_ws("\n\n", F.element_at(s, 1)["body"], F.format_string("## Selected vulnerabilities\n%d of %d entries", F.size(chosen), F.size(blocks)), F.array_join(chosen, "\n\n"), F.lit(NOTE))
+    return _shorter(made, c)
+
+
+def sections_kept(c: Column, headings: list[str], each: int = 1800) -> Column:
+    """Only the sections of these headings, each limited, in the document's order, code fences closed."""
+    kept = F.filter(headed(c), lambda s: s["heading"].isNull() | s["heading"].isin(headings))
+
+    def closed(t: Column) -> Column:
+        fences = F.regexp_count(t, F.lit("(?m)^```"))
+        return F.when(fences % 2 == 1, F.concat(t, F.lit("\n```"))).otherwise(t)
+
+    texts = F.transform(kept, lambda s: F.concat(F.coalesce(F.concat(F.lit("## "), s["heading"], F.lit("\n")), F.lit("")), closed(X.limited(s["body"], each))))
+    return _shorter(F.concat_ws("\n\n", texts, F.lit(NOTE)), c)
+
+
+def compacted(source: Column, c: Column, most: int = 24_000) -> Column:
+    """A document shortened by its source's rules, and by its middle where it is longer still."""
+    made = F.when(source == "mitre_attack", attack(c)).when(source == "cisa_kev", kev(c)).otherwise(c)
+    return X.middle_cut(made, most)
