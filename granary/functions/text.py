@@ -126,3 +126,10 @@ def json_fence(c: Column) -> Column:
     pattern = r"(?is)\A```(?:json)?\s*(.*?)\s*```\z"
     c = strip(c)
     return F.when(F.regexp_like(c, F.lit(pattern)), strip(F.regexp_extract(c, pattern, 1))).otherwise(c)
+
+
+def blob_url(repository: str, ref: str, path: Column) -> Column:
+    """The address of a file in a hosted repository; each part of the path is percent-encoded, slashes stay."""
+    base = repository.removesuffix(".git").rstrip("/")
+    encoded = F.array_join(F.transform(F.split(path, "/"), lambda p: F.replace(F.url_encode(p), F.lit("+"), F.lit("%20"))), "/")
+    return F.concat(F.lit(f"{base}/blob/{ref}/"), encoded)

@@ -88,7 +88,57 @@ def sections_kept(c: Column, headings: list[str], each: int = 1800) -> Column:
     return _shorter(F.concat_ws("\n\n", texts, F.lit(NOTE)), c)
 
 
+def _blocks(c: Column, heading: str) -> Column:
+    """The ### blocks of a section, each with its heading."""
+    found = F.filter(headed(body(headed(c), heading), "### "), lambda b: b["heading"].isNotNull())
+    return F.transform(found, lambda b: F.concat(F.lit("### "), b["heading"], F.lit("\n"), b["body"]))
+
+
+def _selected(c: Column, heading: str, score, k: int, each: int, keep_order: bool = True) -> Column:
+    blocks = _blocks(c, heading)
+    if keep_order:
+        chosen = best(blocks, score, k)
+    else:
+        scored = F.transform(blocks, lambda x, i: F.struct(score(x).alias("s"), (-i).alias("i"), x.alias("x")))
+        chosen = F.transform(F.slice(F.reverse(F.array_sort(scored)), 1, k), lambda t: t["x"])
+    part = F.concat(F.format_string(f"## {heading}\n%d of %d\n\n", F.size(chosen), F.size(blocks)), F.array_join(F.transform(chosen, lambda b: X.limited(b, each)), "\n\n"))
+    return F.when(F.size(blocks) > 0, part)
+
+
+def advisory(c: Column, vulnerabilities: int = 12, each: int = 900) -> Column:
+    """An advisory's sections of substance, and its vulnerabilities of highest score in the order of their scores; always shortened."""
+    names = ["Summary", "Risk Evaluation", "Technical Details", "Recommended Practices", "Mitigations"]
+    kept = F.transform(F.filter(headed(c), lambda s: s["heading"].isin(names)), lambda s: F.concat(F.lit("## "), s["heading"], F.lit("\n"), X.limited(s["body"], 1600)))
+    score = lambda b: F.coalesce(F.regexp_extract(b, r"CVSS Score\*\*: ([0-9.]+)", 1).try_cast("double"), F.lit(-1.0))
+    return F.concat_ws("\n\n", F.element_at(headed(c), 1)["body"], kept, _selected(c, "Vulnerabilities", score, vulnerabilities, each, keep_order=False), F.lit(NOTE))
+
+
+def hijack(c: Column, executables: int = 28, each: int = 420) -> Column:
+    """A hijacking entry with the executables that raise privileges, elevate themselves or name a condition first."""
+    flag = lambda b, word, n: F.when(F.contains(b, F.lit(word)), n).otherwise(0)
+    score = lambda b: flag(b, "Raises privileges", 4) + flag(b, "Auto-elevates", 3) + flag(b, "Condition", 1) + flag(b, "Variable", 1)
+    made = F.concat_ws("\n\n", F.element_at(headed(c), 1)["body"], F.concat(F.lit("## Expected locations\n"), X.limited(body(headed(c), "Expected locations"), 900)), _selected(c, "Vulnerable executables", score, executables, each), F.lit(NOTE))
+    return _shorter(made, c)
+
+
+def driver(c: Column, samples: int = 14, each: int = 520) -> Column:
+    """A driver entry with distinct samples, those of most facts first."""
+    score = lambda b: F.regexp_count(b, F.lit(r"(?m)^- \*\*"))
+    made = F.concat_ws("\n\n", F.element_at(headed(c), 1)["body"], _selected(c, "Samples", score, samples, each), F.concat(F.lit("## References\n"), X.limited(body(headed(c), "References"), 900)), F.lit(NOTE))
+    return _shorter(made, c)
+
+
+SKILL_SECTIONS = ["When to Use", "Overview", "Prerequisites", "Workflow", "Key Concepts", "Tools", "Tools & Systems", "Common Scenarios", "Validation", "Verification", "Output Format", "Detection", "Pitfalls", "Limitations"]
+
+
+def skill(c: Column) -> Column:
+    return sections_kept(c, SKILL_SECTIONS)
+
+
 def compacted(source: Column, c: Column, most: int = 24_000) -> Column:
-    """A document shortened by its source's rules, and by its middle where it is longer still."""
-    made = F.when(source == "mitre_attack", attack(c)).when(source == "cisa_kev", kev(c)).otherwise(c)
-    return X.middle_cut(made, most)
+    """A document shortened by its source's rules, and by its middle where it is longer still; queries are never cut."""
+    rules = {"mitre_attack": attack, "cisa_kev": kev, "cisa_advisories": advisory, "hijacklibs": hijack, "loldrivers": driver, "cybersec_skills": skill}
+    made = c
+    for name, rule in rules.items():
+        made = F.when(source == name, rule(c)).otherwise(made)
+    return F.when(source == "velociraptor_artifacts", c).otherwise(X.middle_cut(made, most))

@@ -68,3 +68,26 @@ def messages(system: str, context: Column, prompt: Column, instruction: Column |
     user = F.array_join(F.array_compact(F.array(*parts)), "\n\n")
     make = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
     return F.array(make("system", F.lit(system)), make("user", user)) if system else F.array(make("user", user))
+
+
+def judge_messages(rubric: str, question: Column, expected: Column, prediction: Column, max_points: Column) -> Column:
+    """What a judge gets: the rubric as the system's message, and the case with the answer as one JSON text."""
+    payload = F.to_json(F.struct(question.alias("question"), expected.alias("expected"), prediction.alias("prediction"), max_points.alias("max_points")))
+    make = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
+    return F.array(make("system", F.lit(rubric)), make("user", payload))
+
+
+def incompatible(base: DataFrame, tuned: DataFrame, fields: list[str], case: str = "case_id") -> DataFrame:
+    """(problem) for all that forbids comparing two runs' case scores: cases of one run alone, or fields that differ."""
+    a, b = base.select(case, *fields), tuned.select(case, *[F.col(f).alias(f"_gr_{f}") for f in fields])
+    both = a.withColumn("_gr_a", F.lit(True)).join(b.withColumn("_gr_b", F.lit(True)), case, "full")
+    problems = F.array_compact(F.array(F.when(F.col("_gr_a").isNull() | F.col("_gr_b").isNull(), F.lit("cases differ")), *[F.when(F.col("_gr_a") & F.col("_gr_b") & ~F.col(f).eqNullSafe(F.col(f"_gr_{f}")), F.lit(f"{f} differs")) for f in fields]))
+    return both.select(F.explode(problems).alias("problem")).distinct()
+
+
+def predicted(cases: DataFrame, predictions: DataFrame, key: str = "case_id") -> DataFrame:
+    """Cases with their predictions; a case without one is an error when it is read."""
+    missing = F.raise_error(F.concat(F.lit("no prediction for "), F.col(key).cast("string"))).cast("string")
+    p = predictions.select(key, F.col("prediction").alias("_gr_p"))
+    out = cases.join(p, key, "left")
+    return out.withColumn("prediction", F.when(F.col("_gr_p").isNull(), missing).otherwise(F.col("_gr_p"))).drop("_gr_p")

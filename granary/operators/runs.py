@@ -111,3 +111,48 @@ def taxonomy_refs(*groups: Column, fallback: Column, default: str = "S1", most:
     other = F.coalesce(fallback, F.array().cast("array<string>"))
     refs = F.when(F.size(refs) > 0, refs).when(F.size(other) > 0, F.array_distinct(other)).otherwise(F.array(F.lit(default)))
     return F.slice(refs, 1, most)
+
+
+def policy_problems(difficulties: dict, categories: dict[str, str | None], profiles: dict[str, list[str]]) -> list[str]:
+    """What is wrong with a prompt policy: difficulty weights, category templates, and the categories of source profiles."""
+    out = []
+    bad = [k for k, v in difficulties.items() if not isinstance(v, (int, float)) or isinstance(v, bool) or v < 0]
+    out += [f"weight of {k} is no number from 0" for k in bad]
+    if {"junior", "mid", "senior"} - set(difficulties):
+        out.append("a difficulty has no weight")
+    elif not bad and sum(difficulties.values()) <= 0:
+        out.append("weights add up to nothing")
+    out += [f"{k} has no template" for k, v in categories.items() if not v]
+    out += [f"{source} has no category" for source, names in profiles.items() if not names]
+    return out + [f"{source}: unknown category {c}" for source, names in profiles.items() for c in names if c not in categories]
+
+
+def breaker_problem(mode: str, least: int, rate: float) -> str | None:
+    """What is wrong with the circuit breaker's arguments; modes without one accept any."""
+    if mode not in ("full", "subset"):
+        return None
+    return "least must be 1 or more" if least < 1 else "rate must be above 0 and at most 1" if not 0 < rate <= 1 else None
+
+
+def too_long(rows: DataFrame, tokens: str, most: int) -> DataFrame:
+    """Training rows beyond a token limit; counts come from an encoding operator or any other column."""
+    return rows.filter(F.col(tokens) > most)
+
+
+def teacher_log(answers: DataFrame, run_id: str, path: str) -> None:
+    """Append a batch of raw answers to the run's log table."""
+    answers.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)
+
+
+def checkpointed(cases: DataFrame, done_path: str, score: Callable[[DataFrame], DataFrame], key: str = "case_id") -> DataFrame:
+    """Score the cases that the table at done_path lacks and append them in one commit; all scores so far."""
+    spark = cases.sparkSession
+    try:
+        done = spark.read.parquet(done_path)
+        left = cases.join(done.select(key), key, "left_anti")
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        left = cases
+    score(left).write.mode("append").parquet(done_path)
+    return spark.read.parquet(done_path)
