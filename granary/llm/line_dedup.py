@@ -1,8 +1,10 @@
-"""Substring dedup by line hashing: normalised units are grouped by digest over the whole corpus.
+"""Substring dedup by hashing lines and paragraphs: normalised units are grouped by digest over the whole corpus.
 
-A unit is a line of a document (``\\n`` ends it; ``\\r`` counts as white space). Units are normalised by lower
-case and single spaces. Of equal units of at least ``min_words`` words the one with the least
-(doc_id, unit number) stays, all others are removed; their offsets are those in the original text.
+A text is cut at line ends and at the blank after a full stop, question or exclamation mark. A unit is the shortest
+run of whole pieces with at least ``MIN_WORDS`` words, from each piece of at least ``START_WORDS`` words on; so a
+passage is found wherever it stands in a line, where hashing whole lines would miss it. Units are normalised by
+lower case and single spaces. Of equal units the one with the least (doc_id, unit number) stays, all others are
+removed; their offsets are those in the original text.
 
 Nulls and edges: a null or empty text has no units; a row with a null doc_id can't be ranked, so it neither
 removes nor loses anything; of equal rows (one doc_id twice) the copies rank as one, so equal units at the same
@@ -23,53 +25,58 @@ from pyspark.sql import types as T
 
 from granary.llm import common as C
 
-MIN_WORDS = 20
-_UNITS = "doc_id bigint, unit int, start int, end int, digest binary"
+MIN_WORDS, START_WORDS = 20, 4
+_UNITS = "doc_id bigint, unit int, start int, end int, da bigint, db bigint"
 
 
-def _units(min_words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in C.steps(batch):
-                yield units_of(part.column(0), part.column(1), min_words)
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in C.steps(batch):
+            yield units_of(part.column(0), part.column(1))
 
-    return run
 
-
-def units_of(ids: pa.Array, text: pa.Array, min_words: int) -> pa.RecordBatch:
+def units_of(ids: pa.Array, text: pa.Array) -> pa.RecordBatch:
     raw, offs = C.text_buffer(text)
     chars = C.char_index(raw)
-    s, e, doc = C.runs(raw != 10, offs)
+    ends = np.zeros(len(raw), bool)
+    ends[1:] = (raw[1:] == 32) & np.isin(raw[:-1], [33, 46, 63])
+    ends[offs[:-1][offs[:-1] < len(raw)]] = False  # what stands before belongs to another text
+    ends |= raw == 10
+    s, e, doc = C.runs(~ends, offs)
     ws, _, _ = C.runs(~C._SPACE[raw], offs)
-    many = np.searchsorted(ws, e) - np.searchsorted(ws, s) >= min_words
-    # the number of a line is the number of line ends before it in its document
-    breaks = np.zeros(len(raw) + 1, np.int64)
-    np.cumsum(raw == 10, out=breaks[1:])
-    s, e, doc = s[many], e[many], doc[many]
-    unit = breaks[s] - breaks[offs[doc]]
+    words = np.searchsorted(ws, e) - np.searchsorted(ws, s)
+    # the number of a piece is the number of cuts before it in its document
+    cuts = np.zeros(len(raw) + 1, np.int64)
+    np.cumsum(ends, out=cuts[1:])
+    reach = np.cumsum(words)
+    last = np.searchsorted(reach, reach - words + MIN_WORDS)
+    good = (words >= START_WORDS) & (last < len(s))
+    good[good] = doc[last[good]] == doc[good]
+    s, e, doc = s[good], e[last[good]], doc[good]
     whole = raw.tobytes()
-    digests = [hashlib.md5(" ".join(whole[a:b].decode("utf-8", "replace").lower().split()).encode()).digest() for a, b in zip(s.tolist(), e.tolist())]
-    first = chars[offs[doc]]
+    made = [hashlib.md5(b" ".join(whole[a:b].decode("utf-8", "replace").lower().encode().split())).digest() for a, b in zip(s.tolist(), e.tolist())]
+    digest = np.frombuffer(b"".join(made), np.int64).reshape(-1, 2)
+    zero = chars[offs[doc]]
     return pa.RecordBatch.from_arrays(
-        [ids.take(pa.array(doc)).cast(pa.int64()), pa.array(unit.astype(np.int32)), pa.array((chars[s] - first).astype(np.int32)), pa.array((chars[e] - first).astype(np.int32)), pa.array(digests, pa.binary())],
-        names=["doc_id", "unit", "start", "end", "digest"],
+        [ids.take(pa.array(doc)).cast(pa.int64()), pa.array((cuts[s] - cuts[offs[doc]]).astype(np.int32)), pa.array((chars[s] - zero).astype(np.int32)), pa.array((chars[e] - zero).astype(np.int32)), pa.array(digest[:, 0]), pa.array(digest[:, 1])],
+        names=["doc_id", "unit", "start", "end", "da", "db"],
     )
 
 
-def removed_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def removed_units(docs: DataFrame) -> DataFrame:
     """One row for each unit to remove: doc_id, unit, start, end (characters), kept_doc_id, kept_unit.
 
     Only digests and positions are shuffled, once as map-side combined minima by digest and once to meet them;
     a digest that millions of documents share is combined before the shuffle.
     """
-    units = C.same_names(docs, "doc_id", "text").filter("doc_id is not null").mapInArrow(_units(min_words), _UNITS)
-    kept = units.groupBy("digest").agg(F.min(F.struct("doc_id", "unit")).alias("kept"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    out = units.join(kept, "digest").filter(F.struct("doc_id", "unit") != F.col("kept"))
+    units = C.same_names(docs, "doc_id", "text").filter("doc_id is not null").mapInArrow(_units, _UNITS)
+    kept = units.groupBy("da", "db").agg(F.min(F.struct("doc_id", "unit")).alias("kept"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    out = units.join(kept, ["da", "db"]).filter(F.struct("doc_id", "unit") != F.col("kept"))
     return out.select("doc_id", "unit", "start", "end", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.unit").alias("kept_unit"))
 
 
 def without_units(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """docs with the removed units cut out of text (line ends stay between what is left); rows and columns are kept."""
+    """docs with the removed units cut out of text, and the cut behind each with it; rows and columns are kept."""
     key, spans_ = C.fresh(docs, "_gr_id"), C.fresh(docs, "_gr_spans")
     spans = removed.groupBy(F.col("doc_id").alias(key)).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias(spans_))
     cutter = F.udf(cut_out, T.StringType())
@@ -83,25 +90,30 @@ def cut_out(text: str | None, spans: list) -> str | None:
         return text
     out, at = [], 0
     for s, e in spans:
-        out.append(text[at:s])
-        at = min(len(text), e + 1)
+        out.append(text[at : max(s, at)])
+        at = max(at, min(len(text), e + 1))
     out.append(text[at:])
     return "".join(out)
 
 
 SQL = f"""
-WITH lines AS (
-  SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
-), units AS (
-  SELECT doc_id, i - 1 AS unit, parts[i] AS line,
-         coalesce(list_sum(list_transform(parts[1:i-1], lambda x: length(x) + 1)), 0)::BIGINT AS start
-  FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM lines)
-), long AS (
-  SELECT doc_id, unit, start, start + length(line) AS "end", md5(lower(trim(regexp_replace(line, '\\s+', ' ', 'g')))) AS digest
-  FROM units WHERE len(regexp_extract_all(line, '\\S+')) >= {MIN_WORDS}
+WITH pieces AS (
+  SELECT doc_id, text, string_split(substr(text, 1, 1) || regexp_replace(substr(text, 2), '([.!?]) ', '\\1' || chr(10), 'g'), chr(10)) AS parts
+  FROM documents WHERE doc_id IS NOT NULL AND text <> ''
+), counted AS (
+  SELECT doc_id, text, parts, list_transform(parts, lambda x: len(regexp_extract_all(x, '\\S+'))) AS words,
+         list_transform(parts, lambda x: length(x) + 1) AS sizes FROM pieces
+), summed AS (
+  SELECT *, list_transform(parts, lambda x, i: list_sum(words[1:i])::BIGINT) AS reach, list_transform(parts, lambda x, i: list_sum(sizes[1:i])::BIGINT) AS behind FROM counted
+), starts AS (SELECT doc_id, text, words, sizes, reach, behind, unnest(range(1, len(parts) + 1)) AS i FROM summed),
+ends AS (SELECT *, len(list_filter(reach, lambda r: r < reach[i] - words[i] + {MIN_WORDS})) + 1 AS j FROM starts WHERE words[i] >= {START_WORDS}),
+units AS (
+  SELECT doc_id, text, i - 1 AS unit, behind[i] - sizes[i] AS start, behind[j] - 1 AS "end" FROM ends WHERE j <= len(reach)
+), digests AS (
+  SELECT doc_id, unit, start, "end", md5(lower(trim(regexp_replace(substr(text, start + 1, "end" - start), '\\s+', ' ', 'g')))) AS digest FROM units
 ), kept AS (
-  SELECT digest, min(struct_pack(doc_id := doc_id, unit := unit)) AS kept FROM long GROUP BY digest HAVING count(*) > 1
+  SELECT digest, min(struct_pack(doc_id := doc_id, unit := unit)) AS kept FROM digests GROUP BY digest HAVING count(*) > 1
 )
 SELECT doc_id, unit::INT AS unit, start::INT AS start, "end"::INT AS "end", kept.doc_id AS kept_doc_id, kept.unit::INT AS kept_unit
-FROM long JOIN kept USING (digest) WHERE struct_pack(doc_id := doc_id, unit := unit) <> kept
+FROM digests JOIN kept USING (digest) WHERE struct_pack(doc_id := doc_id, unit := unit) <> kept
 """

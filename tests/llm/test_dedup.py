@@ -31,6 +31,18 @@ def test_lines_on_odd_rows(spark, odd, none, text):
     assert out[20] == f"x\n{line}\ny" and out[21] == "" and out[22] == ""
 
 
+def test_passages_within_lines(spark, text):
+    passage = f"{text(40, 5)}. {text(41, 12)}. {text(42, 9)}! {text(43, 14)}. {text(44, 10)}?"
+    rows = [(k, f"{text(50 + k, 40)} {passage} {text(70 + k, 40)}.") for k in range(4)] + [(9, f"{text(60, 50)}. A. B. C.")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    removed = line_dedup.removed_units(docs)
+    assert {r.doc_id for r in removed.collect()} == {1, 2, 3} and {r.kept_doc_id for r in removed.collect()} == {0}
+    out = {r.doc_id: r.text for r in line_dedup.without_units(docs, removed).collect()}
+    for k in (1, 2, 3):  # all but the piece that the line before runs into
+        assert text(43, 14) not in out[k] and text(42, 9) not in out[k] and text(50 + k, 40) in out[k] and text(70 + k, 40) in out[k]
+    assert out[0] == rows[0][1] and out[9] == rows[4][1]
+
+
 # ---------------------------------------------------------------- op9
 
 
