@@ -26,6 +26,8 @@ from granary.llm import common as C
 
 SEED = 1337
 PIECE = 64.0
+#: The largest number that _uniform gives.
+LAST = 1.0 - 1.0 / (1 << 52)
 #: Terms of the distribution of one piece; the rest of its mass is under 1e-17.
 TERMS = 180
 
@@ -48,16 +50,18 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, defau
     ln_fact = F.array(*[F.lit(math.lgamma(k + 1)) for k in range(TERMS)])
     pmf = F.transform(ln_fact, lambda f, k: F.exp(k * F.ln("mean") - F.col("mean") - f))
     cdf = F.aggregate(pmf, F.array().cast("array<double>"), lambda acc, p: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + p)))
-    return rate.select("_gr_source", F.col("rate").alias("_gr_rate"), F.col("pieces").alias("_gr_pieces"), F.when(F.col("mean") > 0, cdf).otherwise(F.array_repeat(F.lit(1.0), 1)).alias("_gr_cdf"))
+    reached = F.filter(cdf, lambda c: c <= LAST)  # terms beyond the largest uniform number never count
+    return rate.select("_gr_source", F.col("rate").alias("_gr_rate"), F.col("pieces").alias("_gr_pieces"), F.when(F.col("mean") > 0, reached).otherwise(F.array().cast("array<double>")).alias("_gr_cdf"), (F.col("mean") > 0).alias("_gr_some"))
 
 
 def replicate(docs: DataFrame, weights: dict[str, float] | None = None, default: float = 1.0, seed: int = SEED, shuffle: bool = True) -> DataFrame:
     """docs with a column ``copy`` (0, 1, ...), each row as often as its draw says, in a global random order."""
     rates = C.cut(source_rates(docs, weights, default))
     key = [F.lit(str(seed)), F.coalesce(docs["doc_id"].cast("string"), F.lit("null"))]
-    draws = F.transform(F.sequence(F.lit(1), rates["_gr_pieces"]), lambda p: F.size(F.filter(rates["_gr_cdf"], lambda c: c <= _uniform(*key, p.cast("string")))))
+    uniform = F.transform(F.sequence(F.lit(1), rates["_gr_pieces"]), lambda p: _uniform(*key, p.cast("string")))
+    draws = F.transform(uniform, lambda u: F.size(F.filter(rates["_gr_cdf"], lambda c: c <= u)))
     joined = docs.join(C.broadcast_if_small(rates, 8 * TERMS + 64), docs["source"].eqNullSafe(rates["_gr_source"]))
-    count = F.aggregate(draws, F.lit(0), lambda a, b: a + b)
+    count = F.when(rates["_gr_some"], F.aggregate(draws, F.lit(0), lambda a, b: a + b)).otherwise(0)
     kept = [docs[f"`{c}`"] for c in docs.columns if c != "copy"]
     n, place = C.fresh(docs, "_gr_n"), C.fresh(docs, "_gr_place")
     out = joined.select(*kept, count.alias(n)).filter(F.col(n) > 0)
