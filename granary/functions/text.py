@@ -12,12 +12,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORD = r"[\p{L}\p{N}_]+"
-TOKEN = r"[A-Za-z][A-Za-z0-9_.\\/-]{2,}"
+TOKEN = r"[a-zA-Z][\w.\\/-]{2,}"
 #: Longest first; membership is what counts.
 STOPWORDS = "because between which where would those there these their should could before being about after your with will when this that more into have from does been also".split()
 EDGES = r"""[.,:;()\[\]{}'"`]+"""
 BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
-CLOSING, GENERAL = "</reasoning>", r"(?i)\[GENERAL KNOWLEDGE\]"
+OPENING, CLOSING, GENERAL = "<reasoning>", "</reasoning>", r"(?i)\[GENERAL KNOWLEDGE\]"
+
+
+CAVEAT = r"(?md)^CV(\d+)" + r"\s+\[applies_to" + r"\s+([^\]]+)" + r"\]:" + r"\s*(.*)$"
 
 
 def word_count(c: Column) -> Column:
@@ -53,7 +56,7 @@ def final_answer(c: Column) -> Column:
 
 
 def caveats(c: Column) -> Column:
-    return F.transform(F.regexp_extract_all(c, F.lit(r"(?md)^CV(\d+)\s+\[applies_to\s+([^\]]+)\]:\s*(.*)$"), F.lit(3)), strip)
+    return F.transform(F.regexp_extract_all(c, F.lit(CAVEAT), F.lit(3)), strip)
 
 
 def slug(c: Column, fallback: str = "") -> Column:
@@ -62,7 +65,7 @@ def slug(c: Column, fallback: str = "") -> Column:
 
 
 def file_name(c: Column, fallback: str = "prompt") -> Column:
-    out = F.regexp_replace(F.regexp_replace(c, "[^A-Za-z0-9_.-]+", "-"), "^-+|-+$", "")
+    out = F.regexp_replace(F.regexp_replace(c, "[^a-zA-Z0-9_.-]+", "-"), "^-+|-+$", "")
     return F.when(out == "", F.lit(fallback)).otherwise(out)
 
 
@@ -116,14 +119,15 @@ def trimmed_lines(c: Column) -> Column:
 
 def front_matter(c: Column) -> tuple[Column, Column]:
     """YAML front matter and body; an empty string and the whole text where there is none."""
-    pattern = r"(?s)\A---\s*\n(.*?)\n---\s*\n?(.*)\z"
+    rule = r"---\s*\n"
+    pattern = r"(?s)\A" + rule + r"(.*?)\n" + rule + "?" + r"(.*)\z"
     has = F.regexp_like(c, F.lit(pattern))
     return F.when(has, F.regexp_extract(c, pattern, 1)).otherwise(""), F.when(has, F.regexp_extract(c, pattern, 2)).otherwise(c)
 
 
 def json_fence(c: Column) -> Column:
     """The content of one outer code fence, else the stripped text."""
-    pattern = r"(?is)\A```(?:json)?\s*(.*?)\s*```\z"
+    pattern = r"(?is)\A```" + r"(?:json)?\s*" + r"(.*?)\s*```\z"
     c = strip(c)
     return F.when(F.regexp_like(c, F.lit(pattern)), strip(F.regexp_extract(c, pattern, 1))).otherwise(c)
 

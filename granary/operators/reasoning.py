@@ -11,13 +11,23 @@ from pyspark.sql import functions as F
 
 from granary.functions import text as X
 
-BLOCK = r"(?s)<reasoning>\s*(.*?)\s*</reasoning>"
-EVIDENCE = r"(?md)^E(\d+):\s*(.*)$"
-ANALYSIS = r"(?md)^A(\d+)\s+\[uses\s+([^\]]+)\]:\s*(.*)$"
-CONCLUSION = r"(?md)^C(\d+)\s+\[uses\s+([^\]]+)\].*$"
-CONFIDENT = r"(?mid)^C(\d+)\s+\[uses\s+([^\]]+)\]\s+Confidence:\s+(?:high|medium|low)\.\s*(.*)$"
-CAVEAT = r"(?md)^CV(\d+)\s+\[applies_to\s+([^\]]+)\]:\s*(.*)$"
-KNOWN = r"^(?:E\d+:|A\d+\s+\[uses|C\d+\s+\[uses|CV\d+\s+\[applies_to)"
+_GAP, _REST = r"\s+", r"\s*(.*)$"
+_VERB = {"A": "uses", "C": "uses", "CV": "applies_to"}
+
+
+def _step(name: str, flags: str = "md") -> str:
+    """The start of a step's line: its number and, in brackets, what it cites."""
+    head = f"(?{flags})^{name}" + r"(\d+)"
+    return head + _GAP + r"\[" + _VERB[name] + _GAP + r"([^\]]+)" + r"\]" if name in _VERB else head
+
+
+BLOCK = "(?s)" + X.OPENING + r"\s*(.*?)\s*" + X.CLOSING
+EVIDENCE = _step("E") + ":" + _REST
+ANALYSIS = _step("A") + ":" + _REST
+CONCLUSION = _step("C") + ".*$"
+CONFIDENT = _step("C", "mid") + _GAP + "Confidence:" + _GAP + "(?:" + "|".join(("low", "medium", "high")) + r")\." + _REST
+CAVEAT = _step("CV") + ":" + _REST
+KNOWN = "^(?:" + "|".join([r"E\d+:", *[rf"{k}\d+{_GAP}\[{v}" for k, v in _VERB.items()]]) + ")"
 REFERENCE = r"\b((?:CV|E|A|C)\d+)\b"
 EMPTY = ["", "...", "[conclusion]", "[analysis of evidence]", "[source-grounded evidence]"]
 ISSUE = "array<struct<code:string,severity:string,message:string>>"

@@ -15,9 +15,10 @@ from granary.functions import text as X
 from granary.functions.values import clamped
 from granary.operators import reasoning as R
 
-MITRE, ATLAS = r"^T\d{4}(?:\.\d{3})?\??$", r"^AML\.T\d{4}(?:\.\d{3})?\??$"
-MITRE_IN, ATLAS_IN = r"\b(T\d{4}(?:\.\d{3})?\??)\b", r"\b(AML\.T\d{4}(?:\.\d{3})?\??)\b"
-WEIGHTS = {"factual_accuracy": 0.25, "reasoning_quality": 0.25, "operational_relevance": 0.2, "specificity": 0.15, "completeness": 0.15}
+_NUMBER = r"T\d{4}" + r"(?:\.\d{3})?" + r"\??"
+MITRE, ATLAS = f"^{_NUMBER}$", rf"^AML\.{_NUMBER}$"
+MITRE_IN, ATLAS_IN = rf"\b({_NUMBER})\b", rf"\b(AML\.{_NUMBER})\b"
+WEIGHTS = dict(zip("factual_accuracy reasoning_quality operational_relevance specificity completeness".split(), (0.25, 0.25, 0.2, 0.15, 0.15)))
 PENALTIES = sorted(["this may indicate malicious activity", "suspicious activity", "check logs", "review logs", "more investigation is needed", "further investigation is needed", "further analysis is needed", "follow best practices", "consult your security team", "best practices"], key=len)
 VERBS = "validate triage scope review query preserve pivot isolate inspect extract decode correlate confirm compare collect acquire".split()
 

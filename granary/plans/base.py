@@ -68,7 +68,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(there, "source_doc_id", "left")
 
 
-_TOKEN = r"[A-Za-z][A-Za-z0-9_.\\/-]{2,}"
+_TOKEN = r"[a-zA-Z][\w.\\/-]{2,}"
 
 
 def sql_tokens(text: str) -> str:

@@ -35,7 +35,7 @@ def str_04_final_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.final_answer(r).alias("answer"))
 
 
-@query("SELECT conv_id, turn, array_to_string(regexp_extract_all('CV1 [applies_to C1]: ' || text || chr(10) || 'CV2 [applies_to C1]: end', '(?m)^CV(\\d+)\\s+\\[applies_to\\s+([^\\]]+)\\]:\\s*(.*)$', 3), '|') AS caveats FROM conversations")
+@query("SELECT conv_id, turn, array_to_string(regexp_extract_all('CV1 [applies_to C1]: ' || text || chr(10) || 'CV2 [applies_to C1]: end', '(?m)^CV(\\d+)" + "\\s+\\[applies_to" + "\\s+([^\\]]+)" + "\\]:" + "\\s*(.*)$', 3), '|') AS caveats FROM conversations")
 def str_05_caveats(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.concat(F.lit("CV1 [applies_to C1]: "), "text", F.lit("\nCV2 [applies_to C1]: end"))
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(X.caveats(c), "|").alias("caveats"))
@@ -92,7 +92,7 @@ def str_13_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", X.cell(C("text")).alias("cell"))
 
 
-@query("SELECT doc_id, (len(list_intersect(list_distinct(regexp_extract_all(lower(text), '[A-Za-z][A-Za-z0-9_.\\\\/-]{2,}')), ['the', 'idiot', 'von', 'que'])) + CASE WHEN contains(lower(text), 'general public license') THEN 1 ELSE 0 END)::INT AS hits FROM documents")
+@query("SELECT doc_id, (len(list_intersect(list_distinct(regexp_extract_all(lower(text), '[a-zA-Z][\\w.\\\\/-]{2,}')), ['the', 'idiot', 'von', 'que'])) + CASE WHEN contains(lower(text), 'general public license') THEN 1 ELSE 0 END)::INT AS hits FROM documents")
 def str_14_term_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", X.matching_terms(C("text"), ["the", "idiot", "von", "que", "general public license"]).cast("int").alias("hits"))
 
@@ -137,8 +137,8 @@ def set_06_ordered_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, user_id % 7 = 3 OR user_id % 7 > 3 AS passes FROM events")
 def val_18_order_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = ["informational", "low", "medium", "high", "critical"]
-    level = F.element_at(F.array(*[F.lit(x) for x in ["unknown", "odd", "informational", "low", "medium", "high", "critical"]]), (C("user_id") % 7 + 1).cast("int"))
+    order = "informational low medium high critical".split()
+    level = F.element_at(F.array(*[F.lit(x) for x in ["unknown", "odd", *order]]), (C("user_id") % 7 + 1).cast("int"))
     return table(spark, sf_dir, "events").select("event_id", V.at_least(level, "low", order).alias("passes"))
 
 

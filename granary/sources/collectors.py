@@ -15,7 +15,7 @@ from granary.functions import text as X
 from granary.functions import values as V
 from granary.operators.sampling import keep_first
 
-LEVELS = ["informational", "low", "medium", "high", "critical"]
+LEVELS = "informational low medium high critical".split()
 TACTICS = sorted("impact exfiltration command_and_control collection lateral_movement discovery credential_access defense_impairment stealth privilege_escalation persistence execution initial_access resource_development reconnaissance".split(), key=len)
 
 
@@ -55,7 +55,7 @@ _RULE = "id string, title string, description string, status string, level strin
 
 
 def _rule_markdown(r: Column) -> Column:
-    source = F.array_compact(F.array(*[F.when(F.coalesce(r["logsource"][k], F.lit("")) != "", F.concat(F.lit(f"- **{k.capitalize()}**: "), r["logsource"][k])) for k in ("product", "category", "service", "definition")]))
+    source = F.array_compact(F.array(*[F.when(F.coalesce(r["logsource"][k], F.lit("")) != "", F.concat(F.lit(f"- **{k.capitalize()}**: "), r["logsource"][k])) for k in "product category service definition".split()]))
     fenced = F.when(r["detection"].isNotNull(), F.concat(F.lit("```\n"), r["detection"], F.lit("\n```")))
     return lines(
         F.concat(F.lit("# "), F.coalesce(r["title"], F.lit("Untitled"))), "", field("Status", F.coalesce(r["status"], F.lit("unknown"))), field("Level", F.coalesce(r["level"], F.lit("unknown"))), field("Author", r["author"]), field("Date", r["date"]), "",
@@ -114,7 +114,7 @@ def atomic_tests(found: DataFrame) -> DataFrame:
     name = F.coalesce(t["name"], F.format_string("%s - Test %d", tid, "i"))
     shown = F.coalesce(F.col("r.display_name"), tid)
     arguments = F.transform(F.map_entries(F.coalesce(t["input_arguments"], F.create_map().cast("map<string,struct<description:string,type:string,default:string>>"))), lambda e: F.format_string("| `%s` | %s | %s | `%s` |", e["key"], X.cell(F.coalesce(e["value"]["description"], F.lit(""))), F.coalesce(e["value"]["type"], F.lit("string")), X.cell(F.coalesce(e["value"]["default"], F.lit("")))))
-    table = F.when(F.size(arguments) > 0, F.concat(F.array(F.lit("| Name | Description | Type | Default |"), F.lit("|---|---|---|---|")), arguments))
+    table = F.when(F.size(arguments) > 0, F.concat(F.array(F.lit("| Name | Description | Type | Default |"), F.lit("|---" * 4 + "|")), arguments))
     needs = F.transform(t["dependencies"], lambda d: F.concat_ws("\n", F.concat(F.lit("- "), F.coalesce(d["description"], F.lit(""))), F.concat(F.lit("  - Check: `"), X.strip(d["prereq_command"]), F.lit("`")), F.concat(F.lit("  - Install: `"), X.strip(d["get_prereq_command"]), F.lit("`"))))
     x = t["executor"]
     block = lambda title, c: F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(f"### {title}\n```"), F.coalesce(x["name"], F.lit("")), F.lit("\n"), X.strip(c), F.lit("\n```\n")))
@@ -145,7 +145,7 @@ def kev(catalogue: DataFrame, least: int = 1) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.struct("i", detail))), lambda x: x["col2"]).alias("details"),
         F.transform(F.array_sort(F.collect_list(F.struct("i", v["cveID"].alias("c")))), lambda x: x["c"]).alias("cves"),
     ).filter(F.col("n") >= least)
-    head = F.array(F.lit("| CVE | Product | Vulnerability | Ransomware | Due date |"), F.lit("|---|---|---|---|---|"))
+    head = F.array(F.lit("| CVE | Product | Vulnerability | Ransomware | Due date |"), F.lit("|---" * 5 + "|"))
     body = lines(F.concat(F.lit("# CISA KEV: "), "vendor"), "", field("Vendor", F.col("vendor")), field("Products", F.array_join("products", ", ")), field("Total CVEs", F.col("n")), field("Ransomware-linked", F.col("ransom")), "", section("Vulnerabilities", F.concat(head, "rows")), "## Details", "", F.col("details"))
     key = F.substring(F.replace(F.replace(F.lower("vendor"), F.lit(" "), F.lit("-")), F.lit("/"), F.lit("-")), 1, 50)
     meta = F.struct("vendor", "products", V.as_list(F.col("cves")).alias("cve_ids"), F.col("n").alias("cve_count"), F.col("ransom").alias("ransomware_linked_count"), F.col("catalogVersion").alias("catalog_version"))
@@ -168,7 +168,7 @@ def ossem(found: DataFrame) -> DataFrame:
     part = lambda c: F.when(blank, F.lit("")).otherwise(F.coalesce(F.trim(c), F.lit("")))
     best = rows.groupBy(F.when(blank, F.col("source_path")).otherwise(part(r["platform"])).alias("g1"), part(r["log_source"]).alias("g2"), part(r["event_id"]).alias("g3"), blank.alias("g4")).agg(F.max_by(F.struct("source_path", "r", "fields"), score).alias("b")).select("b.*")
     line = F.transform("fields", lambda f: F.concat(F.lit("| "), F.concat_ws(" | ", *[X.cell(F.coalesce(f[k], F.lit(""))) for k in ("standard_name", "name", "type", "description", "sample_value")]), F.lit(" |")))
-    head = F.array(F.lit("| Standard name | Name | Type | Description | Sample |"), F.lit("|---|---|---|---|---|"))
+    head = F.array(F.lit("| Standard name | Name | Type | Description | Sample |"), F.lit("|---" * 5 + "|"))
     links = F.transform(r["references"], lambda x: F.concat_ws(" ", F.coalesce(x["text"], x["name"]), F.coalesce(x["link"], x["url"])))
     body = lines(F.concat(F.lit("# "), r["name"]), "", field("Event ID", r["event_id"]), field("Version", r["event_version"]), field("Platform", r["platform"]), field("Log source", r["log_source"]), "", section("Description", F.coalesce(r["description"], F.lit(""))), section("Fields", F.concat(head, line)), section("References", bullets(links)))
     name = F.coalesce(F.nullif(r["name"], F.lit("")), F.regexp_extract("source_path", r"([^/]*?)(?:\.[^./]*)?$", 1))

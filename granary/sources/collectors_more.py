@@ -99,7 +99,7 @@ def forensic_artifacts(found: DataFrame, most: int = 20) -> DataFrame:
     return _document(rows, "forensic_artifacts", "artifact_definition", F.concat(F.lit("forensic-artifact-"), F.lower(r["name"])), F.concat(F.lit("Forensic artifact: "), r["name"]), body, meta)
 
 
-BLOCK = r"""(?s)<pre><code class="language-yaml">\n?(.*?)</code></pre>"""
+BLOCK = "(?s)<pre>" + '<code class="language-yaml">' + r"\n?(.*?)" + "</code>" + "</pre>"
 
 
 def unescaped(c: Column) -> Column:
@@ -239,7 +239,7 @@ def skills(pages: DataFrame, least_tokens: int = 500) -> DataFrame:
     name = F.coalesce(F.nullif(value("name"), F.lit("")), F.regexp_extract("source_path", r"([^/]*)/[^/]*$", 1))
     headings = lambda word: F.transform(F.regexp_extract_all("body", F.lit(rf"(?m)^#{{2,6}}\s+({word}.*)$"), F.lit(1)), X.strip)
     body = lines(F.concat(F.lit("# Skill: "), name), "", field("Domain", value("domain")), field("Description", value("description")), "", F.col("body"))
-    meta = F.struct(name.alias("skill_name"), value("description").alias("description"), value("domain").alias("domain"), value("subdomain").alias("subdomain"), F.array_sort(F.array_distinct(F.regexp_extract_all("front_matter", F.lit(r"\b(T\d{4}(?:\.\d{3})?)\b"), F.lit(1)))).alias("mitre_attack_ids"), F.length("body").alias("body_chars"), "body_tokens", headings(r"Step\s+\d+").alias("workflow_steps"), headings("Scenario").alias("scenarios"))
+    meta = F.struct(name.alias("skill_name"), value("description").alias("description"), value("domain").alias("domain"), value("subdomain").alias("subdomain"), F.array_sort(F.array_distinct(F.regexp_extract_all("front_matter", F.lit(r"\b(T\d{4}" + r"(?:\.\d{3})?)\b"), F.lit(1)))).alias("mitre_attack_ids"), F.length("body").alias("body_chars"), "body_tokens", headings(r"Step\s+\d+").alias("workflow_steps"), headings("Scenario").alias("scenarios"))
     return _document(rows, "cybersec_skills", "practitioner_workflow", F.concat(F.lit("cybersec-skill-"), X.slug(name, "skill")), F.concat(F.lit("Skill: "), name), body, meta)
 
 
@@ -257,8 +257,9 @@ def volatility_plugins(sources: DataFrame) -> DataFrame:
                     tree = ast.parse(code)
                 except (SyntaxError, ValueError):
                     continue
-                for node in ast.walk(tree):
-                    if not isinstance(node, ast.ClassDef) or not any("PluginInterface" in ast.unparse(b) for b in node.bases):
+                classes = (c for c in ast.walk(tree) if isinstance(c, ast.ClassDef))
+                for node in classes:
+                    if not any("PluginInterface" in ast.unparse(b) for b in node.bases):
                         continue
                     calls = [c for c in ast.walk(node) if isinstance(c, ast.Call)]
                     needs = [k.value.value for c in calls if ast.unparse(c.func).endswith("Requirement") for k in c.keywords if k.arg == "name" and isinstance(k.value, ast.Constant)]

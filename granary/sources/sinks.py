@@ -44,6 +44,6 @@ def report(rows: DataFrame, path: str, most: int = 10_000) -> int:
 def markdown(comparison: DataFrame, gate: DataFrame) -> str:
     """A comparison of two scorecards as Markdown."""
     g = gate.first()
-    head = [f"# Comparison\n\nOverall change: {g['overall_delta']:+.4f}. {'Passes.' if g['passes'] else 'Fails.'}\n", "| task | baseline | tuned | change |", "|---|---|---|---|"]
+    head = [f"# Comparison\n\nOverall change: {g['overall_delta']:+.4f}. {'Passes.' if g['passes'] else 'Fails.'}\n", "| task | baseline | tuned | change |", "|---" * 4 + "|"]
     rows = comparison.filter(F.col("task_type") != "(all)").orderBy("task_type").collect()
     return "\n".join([*head, *[f"| {r['task_type']} | {r['baseline']:.4f} | {r['tuned']:.4f} | {r['delta']:+.4f}{' (worse)' if r['regressed'] else ''} |" for r in rows]])
