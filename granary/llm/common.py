@@ -7,7 +7,6 @@ through unless an operator's docstring says otherwise.
 from __future__ import annotations
 
 import ctypes
-import tempfile
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -15,9 +14,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from granary.lineage import cut, shared_folder  # noqa: F401  (the operators take them from here)
+
 U64 = np.uint64
 #: Bytes of text that one vectorised step handles; a longer document is a step of its own.
 STEP_BYTES = 1 << 19
@@ -25,25 +26,6 @@ STEP_BYTES = 1 << 19
 BROADCAST_BYTES = 32 << 20
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found
-    sc = spark.sparkContext
-    own = sc._jsc.sc().getCheckpointDir()
-    if own.isDefined():
-        return own.get()
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="granary-checkpoint-"))
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends there and a lost executor costs nothing."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def written(df: DataFrame) -> DataFrame:
     """As cut(), as a Parquet table: columns can be pruned by later readers."""
     spark = df.sparkSession
