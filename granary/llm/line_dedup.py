@@ -4,7 +4,12 @@ A text is cut at line ends and at the blank after a full stop, question or excla
 run of whole pieces with at least ``MIN_WORDS`` words, from each piece of at least ``START_WORDS`` words on; so a
 passage is found wherever it stands in a line, where hashing whole lines would miss it. Units are normalised by
 lower case and single spaces. Of equal units the one with the least (doc_id, unit number) stays, all others are
-removed; their offsets are those in the original text.
+removed; their offsets are those in the original text. ``removed_units`` is fixed to that by its ``SQL``.
+
+``removed_passages`` does the whole job: each non-empty line is a unit of its own, however short, besides the runs,
+and a unit goes from its first word to its last. Equal words are equal units, be they a line or a run. The unit
+with the least (doc_id, start) stays; so each word that is removed stands at an earlier place too, and what stands
+at the first of its places is never removed.
 
 Nulls and edges: a null or empty text has no units; a row with a null doc_id can't be ranked, so it neither
 removes nor loses anything; of equal rows (one doc_id twice) the copies rank as one, so equal units at the same
@@ -26,6 +31,7 @@ from pyspark.sql import types as T
 from granary.llm import common as C
 
 MIN_WORDS, START_WORDS = 20, 4
+_BLANKS = bytes(32 if C._SPACE[k] else k for k in range(256))
 _UNITS = "doc_id bigint, unit int, start int, end int, da bigint, db bigint"
 
 
@@ -75,6 +81,56 @@ def removed_units(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "unit", "start", "end", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.unit").alias("kept_unit"))
 
 
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in C.steps(batch):
+            yield passages_of(part.column(0), part.column(1))
+
+
+def forward_runs(words: np.ndarray, reach: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last pieces of the runs that ``units_of`` makes."""
+    last = np.searchsorted(reach, reach - words + MIN_WORDS)
+    good = (words >= START_WORDS) & (last < len(words))
+    good[good] = doc[last[good]] == doc[good]
+    return np.flatnonzero(good), last[good]
+
+
+def passages_of(ids: pa.Array, text: pa.Array) -> pa.RecordBatch:
+    raw, offs = C.text_buffer(text)
+    chars = C.char_index(raw)
+    ws, we, of = C.runs(~C._SPACE[raw], offs)
+    line_s, line_e, _ = C.runs(raw != 10, offs)
+    ends = np.zeros(len(raw), bool)
+    ends[1:] = (raw[1:] == 32) & np.isin(raw[:-1], [33, 46, 63])
+    ends[offs[:-1][offs[:-1] < len(raw)]] = False  # what stands before belongs to another text
+    s, e, doc = C.runs(~(ends | (raw == 10)), offs)
+    # units as numbers of their first word and the one behind their last
+    a, b = np.searchsorted(ws, s), np.searchsorted(ws, e)
+    first, last = forward_runs(b - a, np.cumsum(b - a), doc)
+    at = np.concatenate([np.searchsorted(ws, line_s), a[first]])
+    to = np.concatenate([np.searchsorted(ws, line_e), b[last]])
+    both = np.unique((at << 32 | to)[to > at])
+    at, to = both >> 32, both & ((1 << 32) - 1)
+    whole = np.insert(raw, offs[1:-1], 10).tobytes().decode("utf-8", "replace").lower().encode()  # a word ends with its text
+    said = [w for w in whole.translate(_BLANKS).split(b" ") if w]
+    made = [hashlib.md5(b" ".join(said[x:y])).digest() for x, y in zip(at.tolist(), to.tolist())]
+    digest = np.frombuffer(b"".join(made), np.int64).reshape(-1, 2)
+    doc = of[at]
+    zero = chars[offs[doc]]
+    return pa.RecordBatch.from_arrays(
+        [ids.take(pa.array(doc)).cast(pa.int64()), pa.array((chars[ws[at]] - zero).astype(np.int32)), pa.array((chars[we[to - 1]] - zero).astype(np.int32)), pa.array(digest[:, 0]), pa.array(digest[:, 1])],
+        names=["doc_id", "start", "end", "da", "db"],
+    )
+
+
+def removed_passages(docs: DataFrame) -> DataFrame:
+    """One row for each line or run to remove: doc_id, start, end (characters), kept_doc_id, kept_start, kept_end."""
+    units = C.same_names(docs, "doc_id", "text").filter("doc_id is not null").mapInArrow(_passages, "doc_id bigint, start int, end int, da bigint, db bigint")
+    kept = units.groupBy("da", "db").agg(F.min(F.struct("doc_id", "start", "end")).alias("kept"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    out = units.join(kept, ["da", "db"]).filter(F.struct("doc_id", "start", "end") != F.col("kept"))
+    return out.select("doc_id", "start", "end", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.start").alias("kept_start"), F.col("kept.end").alias("kept_end"))
+
+
 def without_units(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """docs with the removed units cut out of text, and the cut behind each with it; rows and columns are kept."""
     key, spans_ = C.fresh(docs, "_gr_id"), C.fresh(docs, "_gr_spans")
@@ -117,3 +173,33 @@ units AS (
 SELECT doc_id, unit::INT AS unit, start::INT AS start, "end"::INT AS "end", kept.doc_id AS kept_doc_id, kept.unit::INT AS kept_unit
 FROM digests JOIN kept USING (digest) WHERE struct_pack(doc_id := doc_id, unit := unit) <> kept
 """
+
+
+PASSAGES_SQL = f"""
+WITH pieces AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS lines, string_split(substr(text, 1, 1) || regexp_replace(substr(text, 2), '([.!?]) ', '\\1' || chr(10), 'g'), chr(10)) AS parts
+  FROM documents WHERE doc_id IS NOT NULL AND text <> ''
+), summed AS (
+  SELECT *, list_transform(parts, lambda x, i: list_sum(list_transform(parts[1:i], lambda y: len(regexp_extract_all(y, '\\S+'))))::BIGINT) AS reach,
+         list_transform(parts, lambda x, i: list_sum(list_transform(parts[1:i], lambda y: length(y) + 1))::BIGINT) AS behind,
+         list_transform(lines, lambda x, i: list_sum(list_transform(lines[1:i], lambda y: length(y) + 1))::BIGINT) AS under FROM pieces
+), starts AS (
+  SELECT doc_id, text, reach, behind, unnest(range(1, len(parts) + 1)) AS i FROM summed
+), counted AS (
+  SELECT *, CASE WHEN i > 1 THEN reach[i - 1] ELSE 0 END AS before, CASE WHEN i > 1 THEN behind[i - 1] ELSE 0 END AS left_ FROM starts
+), ends AS (
+  SELECT *, len(list_filter(reach, lambda r: r < before + {MIN_WORDS})) + 1 AS j FROM counted WHERE reach[i] - before >= {START_WORDS}
+), spans AS (
+  SELECT doc_id, text, left_ AS s, behind[j] - 1 AS e FROM ends WHERE j <= len(reach)
+  UNION ALL SELECT doc_id, text, under[i] - length(lines[i]) - 1, under[i] - 1 FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM summed)
+), cut AS (
+  SELECT doc_id, s, e, substr(text, s + 1, e - s) AS said FROM spans
+), units AS (
+  SELECT DISTINCT doc_id, s + length(regexp_extract(said, '^\\s*')) AS start, e - length(regexp_extract(said, '\\s*$')) AS "end",
+         md5(lower(trim(regexp_replace(said, '\\s+', ' ', 'g')))) AS digest FROM cut WHERE regexp_matches(said, '\\S')
+), kept AS (
+  SELECT digest, min(struct_pack(doc_id := doc_id, start := start, "end" := "end")) AS kept FROM units GROUP BY digest HAVING count(*) > 1
+)
+SELECT doc_id, start::INT AS start, "end"::INT AS "end", kept.doc_id AS kept_doc_id, kept.start::INT AS kept_start, kept."end"::INT AS kept_end
+FROM units JOIN kept USING (digest) WHERE struct_pack(doc_id := doc_id, start := start, "end" := "end") <> kept
+"""

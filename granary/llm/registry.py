@@ -46,6 +46,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.removed_units(_docs(spark, sf_dir))
 
 
+def op7_whole_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line and run of sentences, where op7_line_dedup has what its SQL is fixed to."""
+    return line_dedup.removed_passages(_docs(spark, sf_dir))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_docs(spark, sf_dir))
 
@@ -58,7 +63,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(_docs(spark, sf_dir))
 
 
-_QUERIES = (op1_quality_trees, op2_source_mixing, op3_personal_data, op4_ogg_packets, op5_suffix_dedup, op6_toxic_spans, op7_line_dedup, op8_token_counts, op9_superminhash, op10_sentencepiece)
+_QUERIES = (op1_quality_trees, op2_source_mixing, op3_personal_data, op4_ogg_packets, op5_suffix_dedup, op6_toxic_spans, op7_line_dedup, op7_whole_lines, op8_token_counts, op9_superminhash, op10_sentencepiece)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -66,4 +71,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_source_mixing": mixing.SQL, "op4_ogg_packets": ogg.SQL, "op7_line_dedup": line_dedup.SQL}
+    return {"op2_source_mixing": mixing.SQL, "op4_ogg_packets": ogg.SQL, "op7_line_dedup": line_dedup.SQL, "op7_whole_lines": line_dedup.PASSAGES_SQL}

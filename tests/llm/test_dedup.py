@@ -43,6 +43,21 @@ def test_passages_within_lines(spark, text):
     assert out[0] == rows[0][1] and out[9] == rows[4][1]
 
 
+def test_passages_against_sql(spark, sf, duck, same):
+    same(line_dedup.removed_passages(docs_of(spark, sf)), duck(line_dedup.PASSAGES_SQL))
+
+
+def test_short_lines_and_short_texts(spark, odd, none):
+    rows = [(1, "Subscribe to our news.\nfirst body"), (2, "another body\n  subscribe to  our news. \nand its end"), (3, "Subscribe to our news."), (4, "first body"), (5, "}\n}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    removed = line_dedup.removed_passages(docs)
+    assert sorted((r.doc_id, r.start, r.end, r.kept_doc_id, r.kept_start) for r in removed.collect()) == [(2, 15, 38, 1, 0), (3, 0, 22, 1, 0), (4, 0, 10, 1, 23), (5, 2, 3, 5, 0)]
+    out = {r.doc_id: r.text for r in line_dedup.without_units(docs, removed).collect()}
+    assert out[1] == rows[0][1] and "subscribe" not in out[2] and "another body" in out[2] and "and its end" in out[2] and out[3] == out[4] == ""
+    assert {(r.doc_id, r.kept_doc_id) for r in line_dedup.removed_passages(odd).collect()} == {(5, 4)}
+    assert line_dedup.removed_passages(none).count() == 0
+
+
 # ---------------------------------------------------------------- op9
 
 
