@@ -6,8 +6,9 @@ passage is found wherever it stands in a line, where hashing whole lines would m
 lower case and single spaces. Of equal units the one with the least (doc_id, unit number) stays, all others are
 removed; their offsets are those in the original text. ``removed_units`` is fixed to that by its ``SQL``.
 
-``removed_passages`` does the whole job: each non-empty line is a unit of its own, however short, besides the runs,
-and a unit goes from its first word to its last. Equal words are equal units, be they a line or a run. The unit
+``removed_passages`` does the whole job: each non-empty line is a unit of its own, however short, and so are the
+shortest runs of ``MIN_WORDS`` words from every piece on and back from every piece, so repeated sentences of that many
+words in a row are found to both ends. A unit goes from its first word to its last. Equal words are equal units, be they a line or a run. The unit
 with the least (doc_id, start) stays; so each word that is removed stands at an earlier place too, and what stands
 at the first of its places is never removed.
 
@@ -87,12 +88,17 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield passages_of(part.column(0), part.column(1))
 
 
-def forward_runs(words: np.ndarray, reach: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last pieces of the runs that ``units_of`` makes."""
-    last = np.searchsorted(reach, reach - words + MIN_WORDS)
-    good = (words >= START_WORDS) & (last < len(words))
-    good[good] = doc[last[good]] == doc[good]
-    return np.flatnonzero(good), last[good]
+def sentence_runs(words: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last pieces of the shortest runs of MIN_WORDS words from each piece on, and back from each piece."""
+    reach = np.cumsum(words)
+    behind = reach - words
+    last = np.searchsorted(reach, behind + MIN_WORDS)
+    first = np.searchsorted(behind, reach - MIN_WORDS, "right") - 1
+    on = (words > 0) & (last < len(words))
+    on[on] = doc[last[on]] == doc[on]
+    back = (words > 0) & (first >= 0)
+    back[back] = doc[first[back]] == doc[back]
+    return np.concatenate([np.flatnonzero(on), first[back]]), np.concatenate([last[on], np.flatnonzero(back)])
 
 
 def passages_of(ids: pa.Array, text: pa.Array) -> pa.RecordBatch:
@@ -106,7 +112,7 @@ def passages_of(ids: pa.Array, text: pa.Array) -> pa.RecordBatch:
     s, e, doc = C.runs(~(ends | (raw == 10)), offs)
     # units as numbers of their first word and the one behind their last
     a, b = np.searchsorted(ws, s), np.searchsorted(ws, e)
-    first, last = forward_runs(b - a, np.cumsum(b - a), doc)
+    first, last = sentence_runs(b - a, doc)
     at = np.concatenate([np.searchsorted(ws, line_s), a[first]])
     to = np.concatenate([np.searchsorted(ws, line_e), b[last]])
     both = np.unique((at << 32 | to)[to > at])
@@ -188,9 +194,11 @@ WITH pieces AS (
 ), counted AS (
   SELECT *, CASE WHEN i > 1 THEN reach[i - 1] ELSE 0 END AS before, CASE WHEN i > 1 THEN behind[i - 1] ELSE 0 END AS left_ FROM starts
 ), ends AS (
-  SELECT *, len(list_filter(reach, lambda r: r < before + {MIN_WORDS})) + 1 AS j FROM counted WHERE reach[i] - before >= {START_WORDS}
+  SELECT *, len(list_filter(reach, lambda r: r < before + {MIN_WORDS})) + 1 AS j,
+         len(list_filter(reach, lambda r: r <= reach[i] - {MIN_WORDS})) + 1 AS k FROM counted WHERE reach[i] > before
 ), spans AS (
   SELECT doc_id, text, left_ AS s, behind[j] - 1 AS e FROM ends WHERE j <= len(reach)
+  UNION ALL SELECT doc_id, text, CASE WHEN k > 1 THEN behind[k - 1] ELSE 0 END, behind[i] - 1 FROM ends WHERE reach[i] >= {MIN_WORDS}
   UNION ALL SELECT doc_id, text, under[i] - length(lines[i]) - 1, under[i] - 1 FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM summed)
 ), cut AS (
   SELECT doc_id, s, e, substr(text, s + 1, e - s) AS said FROM spans

@@ -58,6 +58,19 @@ def test_short_lines_and_short_texts(spark, odd, none):
     assert line_dedup.removed_passages(none).count() == 0
 
 
+def test_short_sentences_and_last_runs(spark, text):
+    junk = " ".join(f"{w}!!" for w in text(3, 60).split())
+    passage = f"{text(11, 25)}. {text(12, 3)}. {text(13, 3)}. Oh no."
+    rows = [(1, f"{text(1, 30)}. {junk} {text(2, 30)}"), (2, f"{text(4, 40)}. {junk} {text(5, 40)}"), (3, f"{text(6, 30)}. {passage}\n{text(7, 30)}"), (4, f"{text(8, 30)}. {passage}\n{text(9, 30)}"), (5, f"{text(10, 30)}. {passage}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = {r.doc_id: r.text for r in line_dedup.without_units(docs, line_dedup.removed_passages(docs)).collect()}
+    for k, a, b in ((4, 8, 9), (5, 10, None)):
+        assert "".join(out[k].split()) == f"{text(a, 30)}.{text(b, 30) if b else ''}".replace(" ", "")
+    assert "".join(out[3].split()) == "".join(rows[2][1].split())
+    left = set(out[2].split()) - set(f"{text(4, 40)}. {text(5, 40)}".split())
+    assert len(left) <= 1  # but for the junk's last sentence, which runs into what follows
+
+
 # ---------------------------------------------------------------- op9
 
 
