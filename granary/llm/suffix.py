@@ -5,7 +5,7 @@ suffix array by Larsson-Sadakane refinement: suffixes are sorted by their first
 sorted, and only those, by the rank of the suffix 1, 2, 4, ... words on, until every group is a single suffix.
 Kasai's walk through the text gives the common prefixes of neighbours; many stretches of the text walk abreast.
 
-Of the suffixes, those that start at an *anchor* are compared across shards: a word is an anchor if the hash of the
+The suffixes that start at an *anchor* can be compared across shards alone: a word is an anchor if the hash of the
 three words from it is the least of some ``WINDOW`` words in a row, so equal passages have equal anchors wherever
 they stand, and about one word in six is one. A ``PREFIX`` of words from an anchor is a window. In a shard, suffixes
 with a common prefix of that length are neighbours and form a class; one row for each class goes to the merge,
@@ -13,9 +13,12 @@ sorted by its key, and the members that aren't first in the class are known to b
 joins the shards' sorted runs two by two with binary searches; a passage that every shard has costs one row a shard.
 
 A window is repeated if another place has the same words, ``first`` if its (doc_id, word) is the least of all.
-Every passage of ``WINDOW + PREFIX - 1`` = 50 words or more that repeats is found, up to ``WINDOW - 1`` words at
-either end; nothing that shares fewer than ``PREFIX`` words in a row ever is. The result doesn't depend on the
-shards.
+The result doesn't depend on the shards. ``repeated_windows`` has the windows at anchors only.
+
+``repeated_passages`` compares the suffixes at all words: every passage of ``PREFIX`` words or more that repeats is
+found, to its very ends; nothing that shares fewer words in a row ever is. Windows go to the partition of the least
+of some hashes of three words, which neighbouring windows mostly share, so their places travel as small differences;
+what a shard knows to be a repeat travels as ranges.
 
 Nulls and edges: null, empty and short texts have no windows; rows with a null doc_id are left out; a doc_id that
 occurs twice with equal text repeats itself, both rows standing at one place; other columns are ignored; an empty
@@ -24,7 +27,8 @@ table gives no rows. A document longer than a shard is a shard of its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -127,7 +131,7 @@ def anchors(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return k[k + PREFIX <= doc_end[k]]
 
 
-def shard_rows(ids: np.ndarray, text: pa.Array) -> tuple[np.ndarray, ...]:
+def shard_rows(ids: np.ndarray, text: pa.Array, every: bool = False) -> tuple[np.ndarray, ...]:
     """Key, doc_id, word, start, end (characters) and class size of the shard's windows; size 0: known to be a repeat.
 
     The keys of classes ascend; those known go by their document.
@@ -136,10 +140,14 @@ def shard_rows(ids: np.ndarray, text: pa.Array) -> tuple[np.ndarray, ...]:
     s, e, doc, h = C.words(raw, offs)
     docs = len(offs) - 1
     bounds = np.searchsorted(doc, np.arange(docs + 1))
-    k = anchors(h, bounds)
+    if every:
+        k = np.arange(len(h))
+        k = k[k + PREFIX <= np.repeat(bounds[1:], np.diff(bounds))]
+    else:
+        k = anchors(h, bounds)
     empty = np.zeros(0, np.int64)
     if not len(k):
-        return (empty,) * 6
+        return (empty,) * (6 + every)
     chars = C.char_index(raw)
     # symbols: one of its own behind each document, below the words' ranks
     _, sym = np.unique(h, return_inverse=True)
@@ -159,7 +167,11 @@ def shard_rows(ids: np.ndarray, text: pa.Array) -> tuple[np.ndarray, ...]:
     zero = chars[offs[doc[k]]]
     start, end = chars[s[k]] - zero, chars[e[k + PREFIX - 1]] - zero
     o = np.argsort(key, kind="stable")
-    return key[o], d[o], word[o], start[o], end[o], size[o]
+    out = key[o], d[o], word[o], start[o], end[o], size[o]
+    if every:
+        gram = C.span_hashes(h, np.arange(len(h) - GRAM + 1), np.arange(GRAM, len(h) + 1))
+        out += (C.mix(_sliding(gram, 2 * WINDOW, np.minimum)[k[o]]),)
+    return out
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,10 +247,96 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_shards, "key bigint, doc_id bigint, place bigint, extent bigint").repartition("key").mapInArrow(_merged, "doc_id bigint, start int, end int, first boolean")
 
 
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of int64 as differences, the bytes of equal weight together."""
+    planes = [np.diff(x, prepend=np.int64(0)).view(np.uint8).reshape(-1, 8).T.tobytes() for x in columns]
+    return zlib.compress(b"".join(planes), 1)
+
+
+def _unpacked(data: bytes, columns: int) -> list[np.ndarray]:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(columns, 8, -1)
+    return [np.cumsum(np.ascontiguousarray(x.T).view(np.int64)[:, 0]) for x in planes]
+
+
+def _ranges(d: np.ndarray, word: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+    """doc_id, start, end, first and number of the windows that start at neighbouring words, together."""
+    o = np.lexsort((word, first, d))
+    d, word, start, end, first = d[o], word[o], start[o], end[o], first[o]
+    new = np.ones(len(d), bool)
+    new[1:] = (d[1:] != d[:-1]) | (first[1:] != first[:-1]) | (word[1:] != word[:-1] + 1)
+    at = np.flatnonzero(new)
+    n = np.diff(np.append(at, len(d)))
+    return d[at], start[at], end[at + n - 1], first[at], n
+
+
+def _range_rows(d: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(d), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(first), pa.array(n)], names=["doc_id", "start", "end", "first", "windows"])
+
+
+def _every_shard(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in C.steps(batch, size=SHARD_BYTES):
+                key, d, word, start, end, size, near = shard_rows(piece.column(0).to_numpy(), piece.column(1), True)
+                if not len(key):
+                    continue
+                known = size == 0
+                part = (((near >> U64(32)) * U64(parts)) >> U64(32)).astype(np.int64)
+                rows = []
+                if known.any():
+                    r = _ranges(d[known], word[known], start[known], end[known], np.zeros(int(known.sum()), bool))
+                    rows.append((int(part[0]), None, _packed(r[0], r[1], r[2], r[4])))
+                o = np.flatnonzero(~known)
+                o = o[np.lexsort((word[o], d[o], part[o]))]
+                edge = np.flatnonzero(np.concatenate([[True], part[o[1:]] != part[o[:-1]], [True]]))
+                for a, b in zip(edge[:-1], edge[1:]):
+                    w = o[a:b]
+                    rows.append((int(part[w[0]]), key[w].tobytes(), _packed(d[w], word[w], start[w], end[w] - start[w], size[w])))
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["part", "keys", "places"])
+        C.give_back()
+
+    return run
+
+
+def _every_merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts, runs = [], []
+    for batch in batches:
+        for keys, places in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            if keys is None:
+                d, start, end, n = _unpacked(places, 4)
+                yield _range_rows(d, start, end, np.zeros(len(d), bool), n)
+            else:
+                key = np.frombuffer(keys, np.int64)
+                d, word, _, _, size = _unpacked(places, 5)
+                parts.append((keys, places))
+                runs.append(Run.of(key, d, word, size))
+    if not parts:
+        return
+    all_ = merge(runs)
+    del runs
+    for keys, places in parts:
+        key = np.frombuffer(keys, np.int64)
+        d, word, start, length, _ = _unpacked(places, 5)
+        at = np.searchsorted(all_.key, key)
+        again = all_.size[at] > 1
+        first = ((all_.doc[at] == d) & (all_.word[at] == word))[again]
+        yield _range_rows(*_ranges(d[again], word[again], start[again], (start + length)[again], first))
+    del all_, parts
+    C.give_back()
+
+
+def repeated_ranges(docs: DataFrame) -> DataFrame:
+    """(doc_id, start, end, first, windows): every window of PREFIX words that repeats, wherever it starts; neighbours mostly together."""
+    rows = C.same_names(docs, "doc_id", "text").filter("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = rows.mapInArrow(_every_shard(parts), "part int, keys binary, places binary").repartitionById(parts, F.col("part"))
+    return packed.mapInArrow(_every_merged, "doc_id bigint, start int, end int, first boolean, windows bigint")
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """(doc_id, start, end, first, windows): windows that touch or overlap as one passage, apart for first and later ones."""
     order = Window.partitionBy("doc_id", "first").orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    found = repeated_windows(docs).repartition("doc_id").withColumn("new", (F.coalesce(F.col("start") > reach, F.lit(True))).cast("int"))
+    found = repeated_ranges(docs).repartition("doc_id").withColumn("new", (F.coalesce(F.col("start") > reach, F.lit(True))).cast("int"))
     found = found.withColumn("nth", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return found.groupBy("doc_id", "first", "nth").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("windows")).select("doc_id", "start", "end", "first", "windows")
+    return found.groupBy("doc_id", "first", "nth").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("windows").alias("windows")).select("doc_id", "start", "end", "first", "windows")

@@ -178,6 +178,51 @@ def test_planted_passages_are_found(spark, text):
         assert len(dict(rows)[r.doc_id][r.start : r.end].split()) >= suffix.PREFIX
 
 
+def brute_passages(rows):
+    """repeated_passages by a dictionary of all word tuples."""
+    places, spans = defaultdict(list), defaultdict(list)
+    for d, t in rows:
+        raw, offs = C.text_buffer(C.lower(pa.array([t], pa.string())))
+        s, e, _, _ = C.words(raw, offs)
+        chars = C.char_index(raw)
+        said = [raw[a:b].tobytes() for a, b in zip(s, e)]
+        for k in range(len(said) - suffix.PREFIX + 1):
+            places[tuple(said[k : k + suffix.PREFIX])].append((d, k, int(chars[s[k]]), int(chars[e[k + suffix.PREFIX - 1]])))
+    for p in places.values():
+        for d, k, a, b in p if len(p) > 1 else ():
+            spans[d, (d, k) == min(p)[:2]].append((a, b))
+    out = []
+    for (d, first), found in spans.items():
+        merged = []
+        for a, b in sorted(found):
+            if merged and a <= merged[-1][1]:
+                merged[-1] = [merged[-1][0], b, merged[-1][2] + 1]
+            else:
+                merged.append([a, b, 1])
+        out += [(d, a, b, first, n) for a, b, n in merged]
+    return sorted(out)
+
+
+def test_passages_against_brute_force_in_any_shards(spark, sf):
+    docs = docs_of(spark, sf)
+    want = brute_passages([(r.doc_id, r.text) for r in docs.collect()])
+    assert want
+    for parts in (1, 5):
+        assert sorted(tuple(r) for r in suffix.repeated_passages(docs.repartition(parts)).collect()) == want
+
+
+def test_short_passages_are_found_to_their_ends(spark, text):
+    rows = []
+    for n in range(40, 50):
+        rows += [(2 * n + k, f"{text(100 * n + k, 60)} x{n}y{k} {text(n, n)} z{n}y{k} {text(100 * n + 50 + k, 30)}") for k in (0, 1)]
+    got = {r.doc_id: r for r in suffix.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()}
+    assert set(got) == set(range(82, 100))
+    for n in range(41, 50):
+        for k in (0, 1):
+            r = got[2 * n + k]
+            assert dict(rows)[r.doc_id][r.start : r.end] == text(n, n) and r["first"] == (k == 0) and r.windows == n - 40
+
+
 def test_suffixes_on_odd_rows(odd, none):
     got = suffix.repeated_passages(odd).collect()
     assert {(r.doc_id, r["first"]) for r in got} == {(4, True), (5, False)}
