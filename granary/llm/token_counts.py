@@ -32,7 +32,7 @@ from granary.llm.units import UnitCache, code_points
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Entries of the broadcast table: 9 bytes each.
+#: Entries of the broadcast table: 12 bytes each.
 FREQUENT = 1 << 15
 #: Entries of a task's frequency summary, and the count within a step from which a pre-token may enter it.
 SUMMARY, LEAST = 1 << 13, 3
@@ -154,7 +154,7 @@ def frequent_lengths(docs: DataFrame, path: str = VOCABULARY, size: int = FREQUE
     pieces = pa.array([r[0] for r in top.collect()], pa.string())  # bounded by size
     cps, offs = code_points(pieces)
     one = encoding(path)._core_bpe.encode_single_piece
-    return C.span_hashes(cps, offs[:-1], offs[1:]), np.array([len(one(p.encode())) for p in pieces.to_pylist()], np.uint8)
+    return C.span_hashes(cps, offs[:-1], offs[1:]), np.array([len(one(p.encode())) for p in pieces.to_pylist()], np.int32)
 
 
 _worker: dict[str, Lengths] = {}

@@ -53,6 +53,14 @@ def test_counts_on_tables(spark, sf, odd, odd_rows, none):
     assert token_counts.token_counts(none).count() == 0
 
 
+def test_copies_of_a_very_long_pre_token(spark):
+    enc = token_counts.encoding(token_counts.VOCABULARY)
+    t = "".join(chr(0x4E00 + 7 * k) for k in range(300))
+    assert len(enc.encode_ordinary(t)) > 255
+    docs = spark.createDataFrame([(k, t) for k in range(3)], "doc_id bigint, text string").coalesce(1)
+    assert [(r.pre_tokens, r.tokens) for r in token_counts.token_counts(docs).collect()] == [(1, len(enc.encode_ordinary(t)))] * 3
+
+
 # ---------------------------------------------------------------- op10
 
 
