@@ -122,7 +122,7 @@ def hijack(c: Column, executables: int = 28, each: int = 420) -> Column:
 
 
 def driver(c: Column, samples: int = 14, each: int = 520) -> Column:
-    """A driver entry with distinct samples, those of most facts first."""
+    """A driver entry with its samples of most facts; equal samples aren't made one."""
     score = lambda b: F.regexp_count(b, F.lit(r"(?m)^- \*\*"))
     made = F.concat_ws("\n\n", F.element_at(headed(c), 1)["body"], _selected(c, "Samples", score, samples, each), F.concat(F.lit("## References\n"), X.limited(body(headed(c), "References"), 900)), F.lit(NOTE))
     return _shorter(made, c)
