@@ -6,8 +6,11 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from granary.llm import pii, quality, toxicity
+from tests.llm.pii_lines import LINES
 
 
 @pytest.fixture(scope="module")
@@ -144,6 +147,65 @@ def test_personal_data_on_held_out_lines(model):
     assert len(got & want) >= 0.97 * len(want) and len(got - want) <= 0.03 * len(got)
 
 
+def test_weights_are_those_of_the_fit(model):
+    new = pii.fit()
+    rng = random.Random(99)
+    texts = pa.array([pii._line(rng)[0] for _ in range(200)] + [t for t, _ in LINES])
+    assert [x.tolist() for x in pii.entities_of(texts, new)] == [x.tolist() for x in pii.entities_of(texts, model)]
+
+
+def test_personal_data_on_lines_written_by_hand(model):
+    d, a, b, k = pii.entities_of(pa.array([t for t, _ in LINES]), model)
+    got = {(n, pii.KINDS[kind], LINES[n][0][x:y]) for n, x, y, kind in zip(d.tolist(), a.tolist(), b.tolist(), k.tolist())}
+    want = {(n, *found) for n, (_, all_) in enumerate(LINES) for found in all_}
+    assert len(got & want) >= 0.95 * len(want) and len(got - want) <= 0.05 * len(got)
+
+
+def plain_entities(text, model):
+    """entities_of for one text, by a recursion over segments in plain Python."""
+    out = []
+    for a, b in pii.islands_of(text or ""):
+        island = pii.Island(text[a:b], text[max(0, a - pii.CONTEXT) : a], text[b : b + 1])
+        n, t, at = len(island.tokens), model.transitions, {}
+        for span, found in zip(island.spans, island.found):
+            rows = [model.weights[model.number[f]] for f in found if f in model.number]
+            at.setdefault(span[1], []).append((span[0], sum(rows, np.zeros(pii.OUT))))
+        best = {(0, pii.OUT): (0.0, [])}
+        for j in range(1, n + 1):
+            for i, score, kinds in [(j - 1, None, [pii.OUT])] + [(i, w, range(pii.OUT)) for i, w in at.get(j, [])]:
+                for y in kinds:
+                    for before in range(pii.OUT + 1):
+                        if (i, before) in best:
+                            v = best[i, before][0] + t[before, y] + (0.0 if score is None else score[y])
+                            if (j, y) not in best or v > best[j, y][0] + 1e-9:
+                                best[j, y] = v, best[i, before][1] + ([] if y == pii.OUT else [(a + island.tokens[i][0], a + island.tokens[j - 1][1], pii.KINDS[y])])
+        top = max((v, -y) for (j, y), (v, _) in best.items() if j == n)
+        out += best[n, -top[1]][1]
+    return out
+
+
+def test_query_rows_against_a_plain_recursion(spark, sf, model):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(-k, t) for k, (t, _) in enumerate(LINES, 1)]
+    got = sorted((r.doc_id, r.start, r.end, r.kind) for r in pii.entities(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect())
+    assert got == sorted((d, *found) for d, t in rows for found in plain_entities(t, model)) and len(got) > 20
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(), st.sampled_from("0123456789@.:-+() ²³١٢é")), max_size=60))
+def test_personal_data_on_any_characters(text):
+    d, a, b, k = pii.entities_of(pa.array([text.encode("utf-8", "replace").decode()]), pii.fitted())
+    assert all(0 <= x < y <= len(text) for x, y in zip(a.tolist(), b.tolist())) and (np.diff(a) > 0).all()
+
+
+def test_a_text_that_is_one_long_island(model):
+    text = "7 " * 150_000 + "and 10.1.2.3" + " 7" * 1000
+    d, a, b, k = pii.entities_of(pa.array([text]), model)
+    assert (300_004, 300_012, 2) in set(zip(a.tolist(), b.tolist(), k.tolist()))
+    short = pii.Island("1 2 3.4 5-6 " * 400, "", "")
+    assert model.best(short) == model.best(short, *[short.spans, model.scores(short)])
+
+
 def test_islands_on_buffers_are_those_of_the_definition():
     rng = random.Random(3)
     texts = ["".join(rng.choice("a1@ \n\t.éx ") for _ in range(rng.randint(0, 60))) for _ in range(300)]
