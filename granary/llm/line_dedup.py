@@ -1,21 +1,19 @@
-"""Substring dedup by hashing lines and paragraphs: normalised units are grouped by digest over the whole corpus.
-
-A text is cut at line ends and at the blank after a full stop, question or exclamation mark. A unit is the shortest
-run of whole pieces with at least ``MIN_WORDS`` words, from each piece of at least ``START_WORDS`` words on; so a
-passage is found wherever it stands in a line, where hashing whole lines would miss it. Units are normalised by
-lower case and single spaces. Of equal units the one with the least (doc_id, unit number) stays, all others are
-removed; their offsets are those in the original text. ``removed_units`` is fixed to that by its ``SQL``.
-
-``removed_passages`` does the whole job: each non-empty line is a unit of its own, however short, and so are the
-shortest runs of ``MIN_WORDS`` words from every piece on and back from every piece, so repeated sentences of that many
-words in a row are found to both ends. A unit goes from its first word to its last. Equal words are equal units, be they a line or a run. The unit
-with the least (doc_id, start) stays; so each word that is removed stands at an earlier place too, and what stands
-at the first of its places is never removed.
-
-Nulls and edges: a null or empty text has no units; a row with a null doc_id can't be ranked, so it neither
-removes nor loses anything; of equal rows (one doc_id twice) the copies rank as one, so equal units at the same
-place of the same doc_id stay together; other columns are ignored, whatever their names; an empty table gives
-no rows.
+"""Substring dedup by hashing lines: normalised units are grouped by digest over the whole corpus.
+
+Each non-empty line is a unit, however short. Passages that documents share often stand within a line, so the shortest
+runs of whole sentences with at least ``MIN_WORDS`` words are units too, from every sentence of a line on and back from
+every sentence; a sentence ends with a word that ends with a full stop, question or exclamation mark. A unit goes from
+its first word to its last and is normalised by lower case and single blanks; equal words are equal units, be they a
+line or a run. Of equal units the one with the least (doc_id, start, end) is kept.
+
+All later occurrences of a line are removed. A later occurrence of a run is removed where it stands in a line that
+occurs once (a line that recurs goes or stays as a whole) and doesn't touch a run that is kept. So removed and kept
+units never overlap: what is said to be kept is there, whole, when all that is removed is gone.
+
+Nulls and edges: a null or empty text has no units; a very long text is read whole, as a step of its own; a row with a
+null doc_id can't be ranked, so it neither removes nor loses anything; of equal rows (one doc_id twice) the copies rank
+as one, so equal units at the same place of the same doc_id stay together; other columns are ignored, whatever their
+names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,94 +26,48 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from granary.llm import common as C
 
-MIN_WORDS, START_WORDS = 20, 4
+MIN_WORDS = 20
 _BLANKS = bytes(32 if C._SPACE[k] else k for k in range(256))
-_UNITS = "doc_id bigint, unit int, start int, end int, da bigint, db bigint"
+_STOPS = np.zeros(256, bool)
+_STOPS[[33, 46, 63]] = True
 
 
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in C.steps(batch):
-            yield units_of(part.column(0), part.column(1))
-
-
-def units_of(ids: pa.Array, text: pa.Array) -> pa.RecordBatch:
-    raw, offs = C.text_buffer(text)
-    chars = C.char_index(raw)
-    ends = np.zeros(len(raw), bool)
-    ends[1:] = (raw[1:] == 32) & np.isin(raw[:-1], [33, 46, 63])
-    ends[offs[:-1][offs[:-1] < len(raw)]] = False  # what stands before belongs to another text
-    ends |= raw == 10
-    s, e, doc = C.runs(~ends, offs)
-    ws, _, _ = C.runs(~C._SPACE[raw], offs)
-    words = np.searchsorted(ws, e) - np.searchsorted(ws, s)
-    # the number of a piece is the number of cuts before it in its document
-    cuts = np.zeros(len(raw) + 1, np.int64)
-    np.cumsum(ends, out=cuts[1:])
-    reach = np.cumsum(words)
-    last = np.searchsorted(reach, reach - words + MIN_WORDS)
-    good = (words >= START_WORDS) & (last < len(s))
-    good[good] = doc[last[good]] == doc[good]
-    s, e, doc = s[good], e[last[good]], doc[good]
-    whole = raw.tobytes()
-    made = [hashlib.md5(b" ".join(whole[a:b].decode("utf-8", "replace").lower().encode().split())).digest() for a, b in zip(s.tolist(), e.tolist())]
-    digest = np.frombuffer(b"".join(made), np.int64).reshape(-1, 2)
-    zero = chars[offs[doc]]
-    return pa.RecordBatch.from_arrays(
-        [ids.take(pa.array(doc)).cast(pa.int64()), pa.array((cuts[s] - cuts[offs[doc]]).astype(np.int32)), pa.array((chars[s] - zero).astype(np.int32)), pa.array((chars[e] - zero).astype(np.int32)), pa.array(digest[:, 0]), pa.array(digest[:, 1])],
-        names=["doc_id", "unit", "start", "end", "da", "db"],
-    )
-
-
-def removed_units(docs: DataFrame) -> DataFrame:
-    """One row for each unit to remove: doc_id, unit, start, end (characters), kept_doc_id, kept_unit.
-
-    Only digests and positions are shuffled, once as map-side combined minima by digest and once to meet them;
-    a digest that millions of documents share is combined before the shuffle.
-    """
-    units = C.same_names(docs, "doc_id", "text").filter("doc_id is not null").mapInArrow(_units, _UNITS)
-    kept = units.groupBy("da", "db").agg(F.min(F.struct("doc_id", "unit")).alias("kept"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    out = units.join(kept, ["da", "db"]).filter(F.struct("doc_id", "unit") != F.col("kept"))
-    return out.select("doc_id", "unit", "start", "end", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.unit").alias("kept_unit"))
-
-
-def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in C.steps(batch):
-            yield passages_of(part.column(0), part.column(1))
-
-
-def sentence_runs(words: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last pieces of the shortest runs of MIN_WORDS words from each piece on, and back from each piece."""
+def sentence_runs(words: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last sentences of the shortest runs of MIN_WORDS words from each sentence on, and back from each; all within a line."""
     reach = np.cumsum(words)
     behind = reach - words
     last = np.searchsorted(reach, behind + MIN_WORDS)
     first = np.searchsorted(behind, reach - MIN_WORDS, "right") - 1
-    on = (words > 0) & (last < len(words))
-    on[on] = doc[last[on]] == doc[on]
-    back = (words > 0) & (first >= 0)
-    back[back] = doc[first[back]] == doc[back]
+    on = last < len(words)
+    on[on] = line[last[on]] == line[on]
+    back = first >= 0
+    back[back] = line[first[back]] == line[back]
     return np.concatenate([np.flatnonzero(on), first[back]]), np.concatenate([last[on], np.flatnonzero(back)])
 
 
-def passages_of(ids: pa.Array, text: pa.Array) -> pa.RecordBatch:
+def units_of(ids: pa.Array, text: pa.Array) -> pa.RecordBatch:
     raw, offs = C.text_buffer(text)
     chars = C.char_index(raw)
     ws, we, of = C.runs(~C._SPACE[raw], offs)
-    line_s, line_e, _ = C.runs(raw != 10, offs)
-    ends = np.zeros(len(raw), bool)
-    ends[1:] = (raw[1:] == 32) & np.isin(raw[:-1], [33, 46, 63])
-    ends[offs[:-1][offs[:-1] < len(raw)]] = False  # what stands before belongs to another text
-    s, e, doc = C.runs(~(ends | (raw == 10)), offs)
+    breaks = np.zeros(len(raw) + 1, np.int64)
+    np.cumsum(raw == 10, out=breaks[1:])
+    opens = np.ones(len(ws), bool)  # words that start a line
+    opens[1:] = (of[1:] != of[:-1]) | (breaks[ws[1:]] != breaks[ws[:-1]])
+    starts = opens.copy()  # and those that start a sentence
+    starts[1:] |= _STOPS[raw[we[:-1] - 1]] if len(ws) else False
     # units as numbers of their first word and the one behind their last
-    a, b = np.searchsorted(ws, s), np.searchsorted(ws, e)
-    first, last = sentence_runs(b - a, doc)
-    at = np.concatenate([np.searchsorted(ws, line_s), a[first]])
-    to = np.concatenate([np.searchsorted(ws, line_e), b[last]])
-    both = np.unique((at << 32 | to)[to > at])
+    line_at = np.flatnonzero(opens)
+    lines = line_at << 32 | np.append(line_at[1:], len(ws))[: len(line_at)]
+    at = np.flatnonzero(starts)
+    to = np.append(at[1:], len(ws))[: len(at)]
+    first, last = sentence_runs(to - at, np.cumsum(opens)[at])
+    runs = np.setdiff1d(at[first] << 32 | to[last], lines)
+    both = np.concatenate([lines, runs])
+    whole_line = np.arange(len(both)) < len(lines)
     at, to = both >> 32, both & ((1 << 32) - 1)
     whole = np.insert(raw, offs[1:-1], 10).tobytes().decode("utf-8", "replace").lower().encode()  # a word ends with its text
     said = [w for w in whole.translate(_BLANKS).split(b" ") if w]
@@ -124,24 +76,46 @@ def passages_of(ids: pa.Array, text: pa.Array) -> pa.RecordBatch:
     doc = of[at]
     zero = chars[offs[doc]]
     return pa.RecordBatch.from_arrays(
-        [ids.take(pa.array(doc)).cast(pa.int64()), pa.array((chars[ws[at]] - zero).astype(np.int32)), pa.array((chars[we[to - 1]] - zero).astype(np.int32)), pa.array(digest[:, 0]), pa.array(digest[:, 1])],
-        names=["doc_id", "start", "end", "da", "db"],
+        [ids.take(pa.array(doc)).cast(pa.int64()), pa.array((chars[ws[at]] - zero).astype(np.int32)), pa.array((chars[we[to - 1]] - zero).astype(np.int32)), pa.array(whole_line), pa.array(digest[:, 0]), pa.array(digest[:, 1])],
+        names=["doc_id", "start", "end", "line", "da", "db"],
     )
 
 
-def removed_passages(docs: DataFrame) -> DataFrame:
-    """One row for each line or run to remove: doc_id, start, end (characters), kept_doc_id, kept_start, kept_end."""
-    units = C.same_names(docs, "doc_id", "text").filter("doc_id is not null").mapInArrow(_passages, "doc_id bigint, start int, end int, da bigint, db bigint")
-    kept = units.groupBy("da", "db").agg(F.min(F.struct("doc_id", "start", "end")).alias("kept"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    out = units.join(kept, ["da", "db"]).filter(F.struct("doc_id", "start", "end") != F.col("kept"))
-    return out.select("doc_id", "start", "end", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.start").alias("kept_start"), F.col("kept.end").alias("kept_end"))
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in C.steps(batch):
+            yield units_of(part.column(0), part.column(1))
+
+
+def repeated_units(docs: DataFrame) -> DataFrame:
+    """Every unit that stands at several places: doc_id, start, end, line, kept (a struct of doc_id, start and end).
+
+    Only digests and positions are shuffled, once as map-side combined extremes by digest and once to meet them; a
+    digest that millions of documents share is combined before the shuffle.
+    """
+    units = C.same_names(docs, "doc_id", "text").filter("doc_id is not null").mapInArrow(_units, "doc_id bigint, start int, end int, line boolean, da bigint, db bigint")
+    place = F.struct("doc_id", "start", "end")
+    kept = units.groupBy("da", "db").agg(F.min(place).alias("kept"), F.max(place).alias("last")).filter("kept <> last").drop("last")
+    return units.join(kept, ["da", "db"]).select("doc_id", "start", "end", "line", "kept")
+
+
+def removed_units(docs: DataFrame) -> DataFrame:
+    """One row for each line or run to remove: doc_id, start, end (characters), line, kept_doc_id, kept_start, kept_end."""
+    stays = F.struct("doc_id", "start", "end") == F.col("kept")
+    by_start = Window.partitionBy("doc_id").orderBy("start")
+    fixed = F.col("line") | stays
+    before = F.max(F.when(fixed, F.col("end"))).over(by_start.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    behind = F.min(F.when(fixed, F.col("start"))).over(by_start.rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    free = (F.coalesce(before, F.lit(-1)) <= F.col("start")) & (F.coalesce(behind, F.col("end")) >= F.col("end"))
+    out = repeated_units(docs).withColumn("free", free).filter(~stays & (F.col("line") | F.col("free")))
+    return out.select("doc_id", "start", "end", "line", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.start").alias("kept_start"), F.col("kept.end").alias("kept_end"))
 
 
 def without_units(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """docs with the removed units cut out of text, and the cut behind each with it; rows and columns are kept."""
     key, spans_ = C.fresh(docs, "_gr_id"), C.fresh(docs, "_gr_spans")
     spans = removed.groupBy(F.col("doc_id").alias(key)).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias(spans_))
-    cutter = F.udf(cut_out, T.StringType())
+    cutter = F.udf(cut_out, T.StringType(), useArrow=True)
     new = F.when(F.col(spans_).isNull(), docs["text"]).otherwise(cutter(docs["text"], F.col(spans_)))
     out = docs.join(spans, docs["doc_id"] == F.col(key), "left")
     return out.select(*[new.alias("text") if c == "text" else docs[f"`{c}`"] for c in docs.columns])
@@ -159,55 +133,38 @@ def cut_out(text: str | None, spans: list) -> str | None:
 
 
 SQL = f"""
-WITH pieces AS (
-  SELECT doc_id, text, string_split(substr(text, 1, 1) || regexp_replace(substr(text, 2), '([.!?]) ', '\\1' || chr(10), 'g'), chr(10)) AS parts
-  FROM documents WHERE doc_id IS NOT NULL AND text <> ''
-), counted AS (
-  SELECT doc_id, text, parts, list_transform(parts, lambda x: len(regexp_extract_all(x, '\\S+'))) AS words,
-         list_transform(parts, lambda x: length(x) + 1) AS sizes FROM pieces
-), summed AS (
-  SELECT *, list_transform(parts, lambda x, i: list_sum(words[1:i])::BIGINT) AS reach, list_transform(parts, lambda x, i: list_sum(sizes[1:i])::BIGINT) AS behind FROM counted
-), starts AS (SELECT doc_id, text, words, sizes, reach, behind, unnest(range(1, len(parts) + 1)) AS i FROM summed),
-ends AS (SELECT *, len(list_filter(reach, lambda r: r < reach[i] - words[i] + {MIN_WORDS})) + 1 AS j FROM starts WHERE words[i] >= {START_WORDS}),
-units AS (
-  SELECT doc_id, text, i - 1 AS unit, behind[i] - sizes[i] AS start, behind[j] - 1 AS "end" FROM ends WHERE j <= len(reach)
-), digests AS (
-  SELECT doc_id, unit, start, "end", md5(lower(trim(regexp_replace(substr(text, start + 1, "end" - start), '\\s+', ' ', 'g')))) AS digest FROM units
-), kept AS (
-  SELECT digest, min(struct_pack(doc_id := doc_id, unit := unit)) AS kept FROM digests GROUP BY digest HAVING count(*) > 1
-)
-SELECT doc_id, unit::INT AS unit, start::INT AS start, "end"::INT AS "end", kept.doc_id AS kept_doc_id, kept.unit::INT AS kept_unit
-FROM digests JOIN kept USING (digest) WHERE struct_pack(doc_id := doc_id, unit := unit) <> kept
-"""
-
-
-PASSAGES_SQL = f"""
-WITH pieces AS (
-  SELECT doc_id, text, string_split(text, chr(10)) AS lines, string_split(substr(text, 1, 1) || regexp_replace(substr(text, 2), '([.!?]) ', '\\1' || chr(10), 'g'), chr(10)) AS parts
-  FROM documents WHERE doc_id IS NOT NULL AND text <> ''
+WITH lines AS (
+  SELECT row_number() OVER () AS rid, doc_id, text, string_split(text, chr(10)) AS parts FROM documents WHERE doc_id IS NOT NULL AND text <> ''
+), placed AS (
+  SELECT rid, doc_id, unnest(list_transform(parts, lambda x, i: struct_pack(said := x, zero := list_sum(list_transform(parts[1:i], lambda y: length(y) + 1))::BIGINT - length(x) - 1))) AS l FROM lines
+), cut AS (
+  SELECT rid, doc_id, l.said AS said, l.zero AS zero,
+         list_filter(regexp_extract_all(l.said, '(?:\\s*\\S*[^\\s.!?](?:\\s+|$))*(?:\\s*\\S*[.!?](?:\\s+|$))?'), lambda x: x <> '') AS parts FROM placed WHERE regexp_matches(l.said, '\\S')
 ), summed AS (
   SELECT *, list_transform(parts, lambda x, i: list_sum(list_transform(parts[1:i], lambda y: len(regexp_extract_all(y, '\\S+'))))::BIGINT) AS reach,
-         list_transform(parts, lambda x, i: list_sum(list_transform(parts[1:i], lambda y: length(y) + 1))::BIGINT) AS behind,
-         list_transform(lines, lambda x, i: list_sum(list_transform(lines[1:i], lambda y: length(y) + 1))::BIGINT) AS under FROM pieces
+         list_transform(parts, lambda x, i: list_sum(list_transform(parts[1:i], lambda y: length(y)))::BIGINT) AS behind FROM cut
 ), starts AS (
-  SELECT doc_id, text, reach, behind, unnest(range(1, len(parts) + 1)) AS i FROM summed
+  SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM summed
 ), counted AS (
   SELECT *, CASE WHEN i > 1 THEN reach[i - 1] ELSE 0 END AS before, CASE WHEN i > 1 THEN behind[i - 1] ELSE 0 END AS left_ FROM starts
 ), ends AS (
   SELECT *, len(list_filter(reach, lambda r: r < before + {MIN_WORDS})) + 1 AS j,
-         len(list_filter(reach, lambda r: r <= reach[i] - {MIN_WORDS})) + 1 AS k FROM counted WHERE reach[i] > before
+         len(list_filter(reach, lambda r: r <= reach[i] - {MIN_WORDS})) + 1 AS k FROM counted
 ), spans AS (
-  SELECT doc_id, text, left_ AS s, behind[j] - 1 AS e FROM ends WHERE j <= len(reach)
-  UNION ALL SELECT doc_id, text, CASE WHEN k > 1 THEN behind[k - 1] ELSE 0 END, behind[i] - 1 FROM ends WHERE reach[i] >= {MIN_WORDS}
-  UNION ALL SELECT doc_id, text, under[i] - length(lines[i]) - 1, under[i] - 1 FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM summed)
-), cut AS (
-  SELECT doc_id, s, e, substr(text, s + 1, e - s) AS said FROM spans
+  SELECT rid, doc_id, said, zero, left_ AS s, behind[j] AS e, false AS line FROM ends WHERE j <= len(reach)
+  UNION SELECT rid, doc_id, said, zero, CASE WHEN k > 1 THEN behind[k - 1] ELSE 0 END, behind[i], false FROM ends WHERE reach[i] >= {MIN_WORDS}
+  UNION SELECT rid, doc_id, said, zero, 0, length(said), true FROM cut
+), own AS (
+  SELECT rid, doc_id, zero + s AS s, zero + e AS e, line, substr(said, s + 1, e - s) AS said FROM spans
 ), units AS (
-  SELECT DISTINCT doc_id, s + length(regexp_extract(said, '^\\s*')) AS start, e - length(regexp_extract(said, '\\s*$')) AS "end",
-         md5(lower(trim(regexp_replace(said, '\\s+', ' ', 'g')))) AS digest FROM cut WHERE regexp_matches(said, '\\S')
+  SELECT rid, doc_id, s + length(regexp_extract(said, '^\\s*')) AS start, e - length(regexp_extract(said, '\\s*$')) AS "end", bool_or(line) AS line,
+         md5(lower(trim(regexp_replace(said, '\\s+', ' ', 'g')))) AS digest FROM own GROUP BY ALL
 ), kept AS (
-  SELECT digest, min(struct_pack(doc_id := doc_id, start := start, "end" := "end")) AS kept FROM units GROUP BY digest HAVING count(*) > 1
+  SELECT digest, min(struct_pack(doc_id := doc_id, start := start, "end" := "end")) AS kept FROM units GROUP BY digest HAVING kept <> max(struct_pack(doc_id := doc_id, start := start, "end" := "end"))
+), found AS (
+  SELECT doc_id, start, "end", line, kept, struct_pack(doc_id := doc_id, start := start, "end" := "end") = kept AS stays FROM units JOIN kept USING (digest)
 )
-SELECT doc_id, start::INT AS start, "end"::INT AS "end", kept.doc_id AS kept_doc_id, kept.start::INT AS kept_start, kept."end"::INT AS kept_end
-FROM units JOIN kept USING (digest) WHERE struct_pack(doc_id := doc_id, start := start, "end" := "end") <> kept
+SELECT doc_id, start::INT AS start, "end"::INT AS "end", line, kept.doc_id AS kept_doc_id, kept.start::INT AS kept_start, kept."end"::INT AS kept_end
+FROM found f WHERE NOT stays AND (line OR NOT EXISTS (
+  SELECT 1 FROM found o WHERE o.doc_id = f.doc_id AND (o.line OR o.stays) AND o.start < f."end" AND o."end" > f.start))
 """
