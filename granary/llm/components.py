@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from granary.llm import common as C
 
+#: Edges that a task holds at once; each lot shrinks to a spanning forest of its own.
+FOREST = 1 << 20
+
 
 def find(parent: dict[int, int], x: int) -> int:
     root = x
@@ -43,11 +46,18 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a += batch.column(0).to_pylist()
         b += batch.column(1).to_pylist()
+        if len(a) > FOREST:
+            yield _spanning(a, b)
+            a, b = [], []
+    yield _spanning(a, b)
+
+
+def _spanning(a: list[int], b: list[int]) -> pa.RecordBatch:
     of = union_pairs(a, b)
     node = np.fromiter(of.keys(), np.int64, len(of))
     root = np.fromiter(of.values(), np.int64, len(of))
     keep = node != root
-    yield pa.RecordBatch.from_arrays([pa.array(root[keep]), pa.array(node[keep])], names=["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(root[keep]), pa.array(node[keep])], names=["a", "b"])
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:

@@ -110,6 +110,36 @@ def test_near_duplicates_against_brute_force(spark, sf):
         assert true[d] == true[g]
 
 
+def test_prefix_join_is_exact(spark, sf):
+    rows = [(r.doc_id, shingles(r.text)) for r in docs_of(spark, sf).collect()]
+    rows = [r for r in rows if r[1]]
+    for t in (0.4, near_dup.THRESHOLD, 0.8):
+        want = {(min(a, b), max(a, b)) for k, (a, x) in enumerate(rows) for b, y in rows[k + 1 :] if a != b and len(x & y) / len(x | y) >= t}
+        sets = spark.createDataFrame([(d, 0, len(x), [int(np.uint64(e).view(np.int64)) for e in x]) for d, x in rows], near_dup._ELEMENTS)
+        got = {(r.a, r.b) for r in near_dup.prefix_pairs(sets.select("rep", sets["rep"].alias("root")), sets, t).collect()}
+        assert want and want <= got and len(got) <= 3 * len(want)
+
+
+def test_hot_bucket_of_boilerplate(spark, text):
+    """Texts that share half their words meet in buckets of many, where only the alike ones may be joined."""
+    common = text(1, 60)
+    rows = [(k, f"{common} {text(100 + k, 45)}") for k in range(120)] + [(500 + k, f"{common} {text(100 + k, 44)} z") for k in range(0, 120, 7)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    sets = {d: shingles(t) for d, t in rows}
+    want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= near_dup.THRESHOLD}
+    true = components.union_pairs(*zip(*want))
+    for fan in (2, 64):
+        got = {r.doc_id: r.group_id for r in near_dup.near_duplicate_groups(docs, fan=fan).collect()}
+        assert got == true
+
+
+def test_one_row_of_equal_texts_is_the_same_in_every_run(spark):
+    rows = [(1, "some words of a text", k) for k in range(40)] + [(2, "SOME words of a text", 0)]
+    for parts in (1, 3, 7):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string, other int").repartition(parts)
+        assert [tuple(r) for r in near_dup.keep_one_of_each(df).collect()] == [(1, "some words of a text", 0)]
+
+
 def test_near_duplicates_on_odd_rows(odd, odd_rows, none):
     got = {(r.doc_id, r.group_id, r.keep) for r in near_dup.near_duplicate_groups(odd).collect()}
     assert got == {(4, 4, True), (5, 4, False)}
