@@ -1,79 +1,116 @@
 """Toxic spans by a linear-chain conditional random field.
 
-Words of the lower-cased text are the tokens, their labels are 0 or 1. A token's features are its identity and its
-prefixes of ``PREFIXES`` bytes, as far as training selected them; weights of features and transitions are fitted
-here by maximum likelihood. Training tokens come from a bounded sample of labelled documents (``MAX_LABELLED`` of
-each class, near copies among them left out): a word of a toxic document is labelled 1 where its identity or prefix is frequent in
-toxic documents and all but absent from the others. Forward-backward runs over whole documents; stretches of tokens without features are
-crossed by a closed-form power of the 2x2 transition matrix, which is exact, so the loop is over the few tokens
-that have features, of all documents of a step at once.
-
-A document's score is the probability that any of its tokens with features is toxic, taking their marginals as
-independent; offending offsets are the runs of adjacent tokens with a marginal of at least ``SPAN_FROM``.
-
-Nulls and edges: null, empty and wordless texts have no tokens, score 0 and never show; a null doc_id is carried
-through (it can't be labelled); equal rows give equal results; labels with a null toxic, or for no document, are
-unused; without toxic labels nothing is flagged; other columns are ignored; an empty table gives no rows.
+Words of the lower-cased text are the tokens, their labels are 0 or 1. A token's features are its identity, its
+prefixes of ``PREFIXES`` bytes, its last ``SUFFIX`` bytes and the words before and behind it, as far as training
+selected them; weights of features and transitions are fitted here by maximum likelihood. Training tokens come from a
+bounded sample of labelled documents (``MAX_LABELLED`` of each class, near copies among them left out).
+
+The labels table is by document, so tokens are labelled by evidence from elsewhere: the sample falls into two halves
+by a hash of doc_id, and a word of a toxic document is labelled 1 where its identity or prefix is frequent in the
+toxic documents of the *other* half and all but absent from that half's clean ones. Words of clean documents are
+labelled 0. So no token's label is made of its own document, nor is it a function of the features, which the whole
+sample selects; what only some documents bear out gets a small weight. All tokens of the sample count.
+
+Forward-backward runs over whole documents; stretches of tokens without features are crossed by a closed-form power
+of the 2x2 transition matrix, which is exact, so the loop is over the few tokens that have features, of all documents
+of a step at once. A document's score is the probability that any of its tokens with features is toxic, taking their
+marginals as independent; offending offsets are the runs of adjacent tokens with a marginal of at least ``SPAN_FROM``.
+
+Nulls and edges: null, empty and wordless texts have no tokens, score 0 and never show; a very long text is read
+whole, as a step of its own; a null doc_id is carried through (it can't be labelled); equal rows give equal results;
+a score that equals the bound is flagged; a doc_id labelled twice counts as toxic if any label says so; labels with a
+null toxic, or for no document, are unused; without toxic labels nothing is flagged; other columns are ignored; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm import common as C
 
 #: Labelled documents of each class to fit on, at most.
 MAX_LABELLED = 3000
-PREFIXES = (4, 5, 6)
-MIN_DOCS, MIN_LOG_ODDS = 5, 3.5
+PREFIXES, SUFFIX = (4, 5, 6), 4
+#: Columns of features(): identity and prefixes, suffix, the word before and the word behind.
+OWN, BEHIND = 1 + len(PREFIXES), 3 + len(PREFIXES)
+#: Toxic documents that a feature must be in, of the whole sample and of a half, and its log odds against clean ones.
+MIN_DOCS, HALF_DOCS, MIN_LOG_ODDS = 5, 3, 3.5
 FLAG_FROM = SPAN_FROM = 0.5
-CHUNK, ROUNDS, STEP, DECAY = 64, 80, 0.5, 1e-3
-#: Of the training chunks without any feature one in so many is used.
-PLAIN = 16
+CHUNK, ROUNDS, STEP, DECAY = 64, 120, 0.7, 0.03
 U64 = np.uint64
 
 
-def features(raw: np.ndarray, s: np.ndarray, e: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Hashes of each word's features, [words, 1 + prefixes]; 0 for a prefix longer than the word."""
-    out = np.zeros((len(h), 1 + len(PREFIXES)), U64)
+def features(raw: np.ndarray, s: np.ndarray, e: np.ndarray, doc: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Hashes of each word's features; 0 for a part longer than the word, and for a neighbour that isn't."""
+    out = np.zeros((len(h), BEHIND + 1), U64)
     out[:, 0] = h
     for k, n in enumerate(PREFIXES, 1):
         long = e - s >= n
         out[long, k] = C.mix(C.span_hashes(raw, s[long], s[long] + n) + U64(n))
+    long = e - s >= SUFFIX
+    out[long, OWN] = C.mix(C.span_hashes(raw, e[long] - SUFFIX, e[long]) + U64(100))
+    next_ = np.flatnonzero(doc[1:] == doc[:-1])
+    out[next_ + 1, OWN + 1] = C.mix(h[next_] + U64(101))
+    out[next_, BEHIND] = C.mix(h[next_ + 1] + U64(102))
     return out
 
 
+def bytes_of(raw: np.ndarray, s: np.ndarray, e: np.ndarray, last: bool = False) -> np.ndarray:
+    """The first (or last) four bytes of each word, as a number; a shorter word's are padded with zeros."""
+    at = np.maximum(s, e - 4) if last else s
+    padded = np.concatenate([raw, np.zeros(4, np.uint8)])
+    out = padded[at].astype(np.uint32)
+    for k in (1, 2, 3):
+        out |= np.where(at + k < e, padded[at + k], 0).astype(np.uint32) << np.uint32(8 * k)
+    return out
+
+
+def _in(x: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
+    if not len(sorted_):
+        return np.zeros(len(x), bool)
+    return sorted_[np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)] == x
+
+
 @dataclass
 class Tagger:
-    """Selected features with their weights, and transitions[from, to] (label 1's bias within)."""
+    """Selected features with their weights, and transitions[from, to] (label 1's bias within).
+
+    cues: for features of the word itself, of its end and of its neighbours the four bytes that every word with such a
+    feature has, or every neighbour; a cheap test that few words pass.
+    """
 
     table: C.HashIndex
     weights: np.ndarray
     transitions: np.ndarray
-    heads: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))
+    cues: tuple[np.ndarray, np.ndarray, np.ndarray] = (np.zeros(0, np.uint32),) * 3
 
-    def active(self, raw: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def active(self, raw: np.ndarray, s: np.ndarray, e: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the words that have selected features, and what those add to label 1."""
         if not len(s) or not len(self.weights):
             return np.zeros(0, np.int64), np.zeros(0)
-        # every feature of a longer word implies its first bytes, a cheap test that few words pass
-        padded = np.concatenate([raw, np.zeros(4, np.uint8)])
-        head = padded[s].astype(np.uint32)
-        for k in (1, 2, 3):
-            head |= np.where(s + k < e, padded[s + k], 0).astype(np.uint32) << np.uint32(8 * k)
-        at = np.minimum(np.searchsorted(self.heads, head), len(self.heads) - 1)
-        some = np.flatnonzero(self.heads[at] == head)
-        f = features(raw, s[some], e[some], C.span_hashes(raw, s[some], e[some]))
+        head = bytes_of(raw, s, e)
+        some = _in(head, self.cues[0]) | _in(bytes_of(raw, s, e, True), self.cues[1])
+        beside = _in(head, self.cues[2])
+        some[1:] |= beside[:-1]
+        some[:-1] |= beside[1:]
+        around = some.copy()  # with the neighbours of those, for their hashes
+        around[1:] |= some[:-1]
+        around[:-1] |= some[1:]
+        at = np.flatnonzero(around)
+        # words that don't follow each other in the text aren't neighbours
+        apart = doc[at] * 2 + np.cumsum(np.concatenate([[0], np.diff(at) > 1])) * 2 * (int(doc[-1]) + 1) if len(at) else at
+        f = features(raw, s[at], e[at], apart, C.span_hashes(raw, s[at], e[at]))[some[at]]
         n = self.table.get(f.reshape(-1)).reshape(f.shape)
         n[f == 0] = -1
         has = (n >= 0).any(axis=1)
-        return some[has], np.where(n[has] >= 0, self.weights[n[has]], 0.0).sum(axis=1)
+        return np.flatnonzero(some)[has], np.where(n[has] >= 0, self.weights[n[has]], 0.0).sum(axis=1)
 
 
 def forward_backward(trans: np.ndarray, doc: np.ndarray, place: np.ndarray, add: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -138,58 +175,83 @@ def distinct_texts(ids: np.ndarray, sig: np.ndarray) -> np.ndarray:
     return np.array(keep, np.int64)
 
 
-def feature_documents(raw: np.ndarray, offs: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features, and in how many toxic and other documents each occurs."""
+def halves(ids: np.ndarray) -> np.ndarray:
+    return (C.mix(ids.astype(np.int64).view(U64)) >> U64(63)).astype(np.int64)
+
+
+def feature_documents(raw: np.ndarray, offs: np.ndarray, toxic: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features, and in how many documents each occurs: clean and toxic ones of the first half, then of the second."""
     s, e, doc, h = C.words(raw, offs)
     if not len(h):
-        return h, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    o = np.lexsort((h, doc))
-    o = o[np.concatenate([[True], (doc[o][1:] != doc[o][:-1]) | (h[o][1:] != h[o][:-1])])]
-    f = features(raw, s[o], e[o], h[o])
-    d, f = np.repeat(doc[o], f.shape[1]), f.reshape(-1)
+        return h, np.zeros((0, 4), np.int64)
+    f = features(raw, s, e, doc, h)
+    d, f = np.repeat(doc, f.shape[1]), f.reshape(-1)
     d, f = d[f != 0], f[f != 0]
     o = np.lexsort((d, f))
     d, f = d[o], f[o]
     once = np.concatenate([[True], (f[1:] != f[:-1]) | (d[1:] != d[:-1])])
     d, f = d[once], f[once]
     first = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
-    bad = np.add.reduceat((toxic[d] == 1).astype(np.int64), first)
-    return f[first], bad, np.diff(np.append(first, len(f))) - bad
+    kind = 2 * halves(ids)[d] + (toxic[d] == 1)
+    return f[first], np.column_stack([np.add.reduceat((kind == k).astype(np.int64), first) for k in range(4)])
 
 
-def chosen(f: np.ndarray, in_bad: np.ndarray, in_good: np.ndarray, bad: int, good: int) -> np.ndarray:
+def sizes(toxic: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Numbers of clean and toxic documents of the first half, then of the second."""
+    return np.bincount(2 * halves(ids) + (toxic == 1), minlength=4)
+
+
+def chosen(f: np.ndarray, in_bad: np.ndarray, in_good: np.ndarray, bad: int, good: int, least: int) -> np.ndarray:
     odds = np.log((in_bad + 0.5) / (bad + 1)) - np.log((in_good + 0.5) / (good + 1))
-    return np.sort(f[(in_bad >= min(MIN_DOCS, max(1, bad // 2))) & (odds >= MIN_LOG_ODDS)])
+    return np.sort(f[(in_bad >= min(least, max(1, bad // 2))) & (odds >= MIN_LOG_ODDS)])
+
+
+def selected(f: np.ndarray, n: np.ndarray, all_: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The model's features, and for documents of each half the list that their words are labelled by."""
+    lists = [chosen(f, n[:, k + 1], n[:, k], all_[k + 1], all_[k], HALF_DOCS) for k in (2, 0)]
+    return chosen(f, n[:, 1] + n[:, 3], n[:, 0] + n[:, 2], all_[1] + all_[3], all_[0] + all_[2], MIN_DOCS), lists
 
 
-def training_chunks(raw: np.ndarray, offs: np.ndarray, toxic: np.ndarray, table: C.HashIndex, ids: np.ndarray) -> tuple[list, list, list, list, list]:
-    """Chunks of CHUNK tokens that have features, and a hashed share of others: length, and of their tokens with features place, label, numbers and first bytes."""
+def training_chunks(raw: np.ndarray, offs: np.ndarray, toxic: np.ndarray, ids: np.ndarray, table: C.HashIndex, lists: list[np.ndarray]) -> tuple[list, ...]:
+    """Chunks of CHUNK tokens: length, number of such chunks, and of their tokens with features or label 1 place, label, feature numbers and cues.
+
+    Chunks without such tokens differ in nothing but their length, so one row stands for all of a length.
+    """
     s, e, doc, h = C.words(raw, offs)
-    out: tuple[list, list, list, list, list] = ([], [], [], [], [])
+    out: tuple[list, ...] = ([], [], [], [], [], [])
     if not len(h):
         return out
-    f = features(raw, s, e, h)
+    f = features(raw, s, e, doc, h)
     n = table.get(f.reshape(-1)).reshape(f.shape)
     n[f == 0] = -1
-    has = (n >= 0).any(axis=1)
+    has = n >= 0
+    bad = np.zeros(len(h), bool)
+    for k in (0, 1):
+        of = np.flatnonzero((toxic[doc] == 1) & (halves(ids)[doc] == k))
+        bad[of] = _in(f[of, :OWN].reshape(-1), lists[k]).reshape(-1, OWN).any(axis=1)
     place = np.arange(len(doc)) - np.searchsorted(doc, doc)
     start = np.flatnonzero(place % CHUNK == 0)
     end = np.append(start[1:], len(doc))
-    with_some = np.add.reduceat(has.astype(np.int64), start) > 0
-    spare = C.mix(C.mix(ids[doc[start]].astype(U64)) + place[start].astype(U64)) % U64(PLAIN) == 0
-    for a, b in zip(start[with_some | spare].tolist(), end[with_some | spare].tolist()):
-        k = a + np.flatnonzero(has[a:b])
-        out[0].append(b - a)
-        out[1].append((k - a).tolist())
-        out[2].append((toxic[doc[k]] == 1).astype(int).tolist())
-        out[3].append(n[k].reshape(-1).tolist())
-        out[4].append([int.from_bytes(raw[s[x] : min(s[x] + 4, e[x])].tobytes().ljust(4, b"\0"), "little") for x in k.tolist()])
+    says = has.any(axis=1) | bad
+    some = np.add.reduceat(says.astype(np.int64), start) > 0
+    head, tail = bytes_of(raw, s, e).astype(np.int64), bytes_of(raw, s, e, True).astype(np.int64)
+    for a, b in zip(start[some].tolist(), end[some].tolist()):
+        k = a + np.flatnonzero(says[a:b])
+        cues = {int(head[x]) for x in k[has[k, :OWN].any(axis=1)]} | {1 << 32 | int(tail[x]) for x in k[has[k, OWN]]}
+        cues |= {2 << 32 | int(head[x - 1]) for x in k[has[k, OWN + 1]]} | {2 << 32 | int(head[x + 1]) for x in k[has[k, BEHIND]]}
+        for column, value in zip(out, (b - a, 1, (k - a).tolist(), bad[k].astype(int).tolist(), n[k].reshape(-1).tolist(), sorted(cues))):
+            column.append(value)
+    lengths, times = np.unique((end - start)[~some], return_counts=True)
+    for length, n_of in zip(lengths.tolist(), times.tolist()):
+        for column, value in zip(out, (length, n_of, [], [], [], [])):
+            column.append(value)
     return out
 
 
-def trained(table: C.HashIndex, chunks: tuple[list, list, list, list, list]) -> Tagger:
+def trained(table: C.HashIndex, chunks: tuple[list, ...]) -> Tagger:
     """Maximum likelihood, by gradient steps of adaptive size over all chunks."""
-    length, places, labels, numbers, heads = chunks
+    length, times, places, labels, numbers, cues = chunks
+    times = np.array(times, float)
     count = np.array([len(p) for p in places])
     row = np.repeat(np.arange(len(length)), count)
     col = np.array([x for p in places for x in p], np.int64)
@@ -203,20 +265,21 @@ def trained(table: C.HashIndex, chunks: tuple[list, list, list, list, list]) ->
     scale_w, scale_t = np.full(table.n, 1e-6), np.full((2, 2), 1e-6)
     seen = np.zeros((2, 2))
     inner = real[:, 1:]
-    np.add.at(seen, (label[:, :-1][inner], label[:, 1:][inner]), 1)
-    total = real.sum()
+    np.add.at(seen, (label[:, :-1][inner], label[:, 1:][inner]), np.broadcast_to(times[:, None], inner.shape)[inner])
+    total = (real.sum(axis=1) * times).sum()
     for _ in range(ROUNDS):
         add = np.zeros(shape)
         add[row, col] = np.where(ids >= 0, w[ids], 0.0).sum(axis=1)
-        p1, pairs = _dense(t, add, real)
-        miss = (y - p1[row, col]) / total * 100
-        gw = np.bincount(ids[ids >= 0], np.broadcast_to(miss[:, None], ids.shape)[ids >= 0], len(w)) - DECAY * w
-        gt = (seen - pairs) / total * 100 - DECAY * t
+        p1, pairs = _dense(t, add, real, times)
+        miss = y - p1[row, col]
+        gw = (np.bincount(ids[ids >= 0], np.broadcast_to(miss[:, None], ids.shape)[ids >= 0], len(w)) - DECAY * w) / total * 100
+        gt = (seen - pairs - DECAY * t) / total * 100
         scale_w += gw**2
         scale_t += gt**2
         w += STEP * gw / np.sqrt(scale_w)
         t += STEP * gt / np.sqrt(scale_t)
-    return Tagger(table, w, t, np.unique(np.array([x for p in heads for x in p], np.uint32)))
+    found = np.unique(np.array([x for p in cues for x in p], np.int64))
+    return Tagger(table, w, t, tuple((found[found >> 32 == k] & 0xFFFFFFFF).astype(np.uint32) for k in range(3)))
 
 
 def nothing() -> Tagger:
@@ -230,19 +293,19 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> Tagger:
     keep = distinct_texts(ids, signatures(raw, offs))
     texts, toxic, ids = texts.take(pa.array(keep)), toxic[keep], ids[keep]
     raw, offs = C.text_buffer(C.lower(texts))
-    bad, good = int((toxic == 1).sum()), int((toxic == 0).sum())
-    if not bad or not good:
+    all_ = sizes(toxic, ids)
+    if not all_[1] + all_[3] or not all_[0] + all_[2]:
         return nothing()
-    pure = chosen(*feature_documents(raw, offs, toxic), bad, good)
+    pure, lists = selected(*feature_documents(raw, offs, toxic, ids), all_)
     if not len(pure):
         return nothing()
     table = C.HashIndex(16)
     table.add(pure)
-    return trained(table, training_chunks(raw, offs, toxic, table, ids))
+    return trained(table, training_chunks(raw, offs, toxic, ids, table, lists))
 
 
-def _dense(t: np.ndarray, add: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals of label 1 and expected transitions of padded sequences."""
+def _dense(t: np.ndarray, add: np.ndarray, real: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of label 1 and expected transitions of padded sequences, each of which occurs so many times."""
     n, size = add.shape
     m = np.exp(t)
     boost = np.stack([np.ones(add.shape), np.exp(np.minimum(add, 50.0))], axis=2)
@@ -258,7 +321,7 @@ def _dense(t: np.ndarray, add: np.ndarray, real: np.ndarray) -> tuple[np.ndarray
         nxt = boost[:, k + 1] * beta[:, k + 1]
         go = real[:, k + 1]
         joint = alpha[go, k, :, None] * m[None] * nxt[go, None, :]
-        pairs += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        pairs += (joint / joint.sum(axis=(1, 2), keepdims=True) * times[go, None, None]).sum(axis=0)
         b = nxt @ m.T
         beta[:, k] = np.where(go[:, None], b / b.sum(axis=1, keepdims=True), 1.0)
     both = alpha * beta
@@ -287,36 +350,44 @@ def fitted(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> Tag
     known = over(signed, "doc_id bigint, toxic int, a bigint, b bigint").toArrow()
     ids = known["doc_id"].to_numpy()
     keep = distinct_texts(ids, np.column_stack([known["a"].to_numpy(), known["b"].to_numpy()]).astype(np.int64)) if len(ids) else ids
-    toxic = known["toxic"].to_numpy()[np.isin(ids, keep)]
-    bad, good = int((toxic == 1).sum()), int((toxic == 0).sum())
-    if not bad or not good:
+    on = np.isin(ids, keep)
+    all_ = sizes(known["toxic"].to_numpy()[on], ids[on])
+    if not all_[1] + all_[3] or not all_[0] + all_[2]:
         return nothing()
 
     def kept(ids, raw, offs, toxic):
         on = np.flatnonzero(np.isin(ids, keep))
         lengths = np.diff(offs)[on]
         row, within = C.ragged(lengths)
-        return ids[on], raw[offs[on][row] + within], np.concatenate([[0], np.cumsum(lengths)]), toxic[on]
+        return raw[offs[on][row] + within], np.concatenate([[0], np.cumsum(lengths)]), toxic[on], ids[on]
 
     def counted(*batch):
-        _, raw, offs, toxic = kept(*batch)
-        f, a, b = feature_documents(raw, offs, toxic)
-        return pa.RecordBatch.from_arrays([pa.array(f.view(np.int64)), pa.array(a), pa.array(b)], names=["f", "bad", "good"])
+        f, n = feature_documents(*kept(*batch))
+        return pa.RecordBatch.from_arrays([pa.array(f.view(np.int64)), *[pa.array(n[:, k]) for k in range(4)]], names=["f", *_FOUR])
+
+    def likely(bad: str, good: str, of_bad: int, of_good: int) -> Column:  # what chosen() takes, and a little more
+        return F.expr(f"({bad} + 0.5) / {of_bad + 1} >= {0.99 * np.exp(MIN_LOG_ODDS)} * ({good} + 0.5) / {of_good + 1}")
 
-    counts = over(counted, "f bigint, bad bigint, good bigint").groupBy("f").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter(F.col("bad") >= min(MIN_DOCS, max(1, bad // 2))).filter("bad > good").toArrow()
-    pure = chosen(counts["f"].to_numpy().view(U64), counts["bad"].to_numpy(), counts["good"].to_numpy(), bad, good)
+    sums = over(counted, f"f bigint, {' bigint, '.join(_FOUR)} bigint").groupBy("f").agg(*[F.sum(c).alias(c) for c in _FOUR])
+    some = likely("(n1 + n3)", "(n0 + n2)", all_[1] + all_[3], all_[0] + all_[2]) | likely("n1", "n0", all_[1], all_[0]) | likely("n3", "n2", all_[3], all_[2])
+    counts = sums.filter(F.expr(f"n1 + n3 >= {min(HALF_DOCS, max(1, int(min(all_[1], all_[3])) // 2))}")).filter(some).toArrow()
+    pure, lists = selected(counts["f"].to_numpy().view(U64), np.column_stack([counts[c].to_numpy() for c in _FOUR]), all_)
     if not len(pure):
         return nothing()
     table = C.HashIndex(16)
     table.add(pure)
 
     def cut_up(*batch):
-        ids, raw, offs, toxic = kept(*batch)
-        found = training_chunks(raw, offs, toxic, table, ids)
-        return pa.RecordBatch.from_arrays([pa.array(found[0], pa.int32()), *[pa.array(x, pa.list_(pa.int64())) for x in found[1:]]], names=["length", "places", "labels", "numbers", "heads"])
+        found = training_chunks(*kept(*batch), table, lists)
+        return pa.RecordBatch.from_arrays([*[pa.array(x, pa.int32()) for x in found[:2]], *[pa.array(x, pa.list_(pa.int64())) for x in found[2:]]], names=_CHUNK)
+
+    schema = f"length int, times int, {', '.join(f'{c} array<bigint>' for c in _CHUNK[2:])}"
+    chunks = over(cut_up, schema).groupBy("length", *_CHUNK[2:]).agg(F.sum("times").alias("times")).orderBy("length", *_CHUNK[2:]).toArrow()
+    return trained(table, tuple(chunks[c].to_pylist() for c in _CHUNK))
+
 
-    chunks = over(cut_up, "length int, places array<bigint>, labels array<bigint>, numbers array<bigint>, heads array<bigint>").orderBy("length", "places", "numbers", "heads").toArrow()
-    return trained(table, tuple(chunks[c].to_pylist() for c in chunks.column_names))
+_FOUR = ["n0", "n1", "n2", "n3"]
+_CHUNK = ["length", "times", "places", "labels", "numbers", "cues"]
 
 
 def tag(column: pa.Array, model: Tagger) -> tuple[np.ndarray, ...]:
@@ -324,7 +395,7 @@ def tag(column: pa.Array, model: Tagger) -> tuple[np.ndarray, ...]:
     raw, offs = C.text_buffer(C.lower(column))  # a character's lower case is one character: offsets hold
     s, e, doc = C.runs(C._WORD[raw], offs)
     lengths = np.bincount(doc, minlength=len(offs) - 1)
-    some, add = model.active(raw, s, e)
+    some, add = model.active(raw, s, e, doc)
     d = doc[some]
     first = np.searchsorted(doc, np.arange(len(offs) - 1))
     place = some - first[d]

@@ -114,6 +114,75 @@ def test_toxicity_on_held_out_documents():
         assert any(texts[300 + d[k]][s[k] : e[k]].startswith(b) for b in bad)
 
 
+def test_active_words_are_all_that_have_features(labelled):
+    texts = pa.array(labelled.text)
+    model = toxicity.fit(texts, labelled.toxic.to_numpy())
+    assert all(len(c) for c in model.cues[:1])
+    raw, offs = toxicity.C.text_buffer(toxicity.C.lower(texts))
+    s, e, doc, h = toxicity.C.words(raw, offs)
+    f = toxicity.features(raw, s, e, doc, h)
+    n = model.table.get(f.reshape(-1)).reshape(f.shape)
+    n[f == 0] = -1
+    has = np.flatnonzero((n >= 0).any(axis=1))
+    some, add = model.active(raw, s, e, doc)
+    assert some.tolist() == has.tolist() and np.allclose(add, np.where(n[has] >= 0, model.weights[n[has]], 0.0).sum(axis=1))
+
+
+def test_plain_chunks_count_as_often_as_they_are():
+    """One row for many equal chunks gives the model that all of them would."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(("one", "two", "three", "gronk" if k % 4 == 0 else "four")) for _ in range(rng.choice((64, 128, 150)))) for k in range(80)]
+    toxic, ids = np.array([int(k % 4 == 0) for k in range(80)]), np.arange(80)
+    raw, offs = toxicity.C.text_buffer(pa.array(texts))
+    pure, lists = toxicity.selected(*toxicity.feature_documents(raw, offs, toxic, ids), toxicity.sizes(toxic, ids))
+    table = toxicity.C.HashIndex(16)
+    table.add(pure)
+    rows = toxicity.training_chunks(raw, offs, toxic, ids, table, lists)
+    assert sum(length * n for length, n in zip(rows[0], rows[1])) == sum(len(t.split()) for t in texts) and max(rows[1]) > 1
+    spread = tuple([x for x, n in zip(column, rows[1]) for _ in range(n)] for column in rows)
+    spread = (spread[0], [1] * len(spread[0]), *spread[2:])
+    a, b = toxicity.trained(table, rows), toxicity.trained(table, spread)
+    assert np.allclose(a.weights, b.weights) and np.allclose(a.transitions, b.transitions)
+
+
+def test_query_rows_against_plain_marginals(spark, labelled):
+    """toxic_documents' rows by forward-backward in plain Python over every token."""
+    docs = spark.createDataFrame(labelled[["doc_id", "text"]])
+    labels = spark.createDataFrame(labelled[["doc_id", "quality", "toxic"]])
+    model = toxicity.fitted(docs, labels)
+    got = {r.doc_id: (r.score, r.toxic_tokens, [(x.start, x.end) for x in r.spans]) for r in toxicity.tagged(docs, model).collect()}
+    want, t = {}, np.exp(model.transitions)
+    for doc_id, text in zip(labelled.doc_id, labelled.text):
+        raw, offs = toxicity.C.text_buffer(toxicity.C.lower(pa.array([text])))
+        s, e, doc, h = toxicity.C.words(raw, offs)
+        f = toxicity.features(raw, s, e, doc, h)
+        n = model.table.get(f.reshape(-1)).reshape(f.shape)
+        n[f == 0] = -1
+        boost = [np.array([1.0, np.exp(sum(model.weights[x] for x in row if x >= 0))]) for row in n]
+        alpha, beta = [], [np.ones(2)]
+        for k in range(len(h)):
+            a = (np.exp([0.0, model.transitions[0, 1] - model.transitions[0, 0]]) if k == 0 else alpha[-1] @ t) * boost[k]
+            alpha.append(a / a.sum())
+        for k in range(len(h) - 1, 0, -1):
+            b = t @ (boost[k] * beta[0])
+            beta.insert(0, b / b.sum())
+        p = [float(x[1] * y[1] / (x * y).sum()) for x, y in zip(alpha, beta)]
+        score = 1 - np.prod([1 - min(q, 1 - 1e-12) for q, row in zip(p, n) if (row >= 0).any()])
+        if score < toxicity.FLAG_FROM:
+            continue
+        chars, on = toxicity.C.char_index(raw), [k for k in range(len(h)) if p[k] >= toxicity.SPAN_FROM and (n[k] >= 0).any()]
+        spans = []
+        for k in on:
+            if spans and spans[-1][2] == k - 1:
+                spans[-1] = [spans[-1][0], int(chars[e[k]]), k]
+            else:
+                spans.append([int(chars[s[k]]), int(chars[e[k]]), k])
+        want[doc_id] = (score, len(on), [(a, b) for a, b, _ in spans])
+    assert got.keys() == want.keys() and len(got) > 10
+    for k in got:
+        assert abs(got[k][0] - want[k][0]) < 1e-6 and got[k][1:] == want[k][1:]
+
+
 def test_table_fit_equals_local_fit(spark, labelled):
     docs = spark.createDataFrame(labelled[["doc_id", "text"]])
     labels = spark.createDataFrame(labelled[["doc_id", "quality", "toxic"]])
