@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own only where that is unset, as in tests."""
+    """The folder named in spark.checkpoint.dir; one of our own only where that is unset on a single machine, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
+        if not found and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         context.setCheckpointDir(found or tempfile.mkdtemp(prefix="granary-checkpoint-"))
     return found or context._jsc.sc().getCheckpointDir().get()
 
@@ -19,3 +25,23 @@ def shared_folder(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def made(path: str) -> str:
+    """path, remembered for passing()."""
+    _made.append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that were written to cut lineage inside it: for code that has written its own outcome by then."""
+    before = len(_made)
+    yield
+    while len(_made) > before:
+        remove(spark, _made.pop())
