@@ -1,7 +1,13 @@
 """From raw documents to encoded training data, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the
-next one's docs. All but the last return the columns of documents.
+next one's docs. All but the last return the columns of documents, whatever those are named.
+
+Nulls and edges: a row with a null or empty text passes the quality rules by its score like any other, is in no group
+of near duplicates, holds no personal data, is copied as its source's weight has it and has no pieces; a row with a
+null doc_id passes the same way, ungrouped; very long texts are handled whole in every stage; of equal rows one
+stays; ties are as the stages' operators have them; an empty table gives no rows. Extra columns are carried up to the
+last stage, which names its own.
 """
 
 from __future__ import annotations
@@ -10,6 +16,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from granary.lineage import passing, remove
 from granary.llm import common, mixing, near_dup, pieces, pii, quality
 
 #: SQL can't express the trees, the signatures' groups, the tagging or the encoding; tests compare with brute force.
@@ -33,7 +40,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's weight has it drawn, in a global random order."""
-    return mixing.replicate(docs).drop("copy")
+    copy = common.fresh(docs, "_gr_copy")
+    return mixing.replicate(docs, copy=copy).drop(copy)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +55,12 @@ STAGES = [("quality", quality_rules), ("near_duplicates", near_duplicates), ("pe
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{common.shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        with passing(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove(spark, before)
+        before = f"{folder}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,6 +7,7 @@ through unless an operator's docstring says otherwise.
 from __future__ import annotations
 
 import ctypes
+import hashlib
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -17,19 +18,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.lineage import cut, shared_folder  # noqa: F401  (the operators take them from here)
+from granary.lineage import cut, made, shared_folder  # noqa: F401  (the operators take them from here)
 
 U64 = np.uint64
 #: Bytes of text that one vectorised step handles; a longer document is a step of its own.
 STEP_BYTES = 1 << 19
 #: A side of a join is broadcast up to this size, beyond it the join shuffles.
 BROADCAST_BYTES = 32 << 20
+LONG_SPAN = 64
 
 
 def written(df: DataFrame) -> DataFrame:
     """As cut(), as a Parquet table: columns can be pruned by later readers."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/granary-{uuid.uuid4().hex}"
+    path = made(f"{shared_folder(spark).rstrip('/')}/granary-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -130,7 +132,11 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of symbols[start:end] for each span; equal symbols give equal hashes wherever they lie."""
+    """64-bit hash of symbols[start:end] for each span; equal symbols give equal hashes wherever they lie.
+
+    A polynomial modulo 2**64, whose known collisions need hundreds of symbols; spans of bytes or code points of over
+    LONG_SPAN get a cryptographic digest in its place, so that no text can be made up to collide.
+    """
     n = len(symbols)
     if not len(starts):
         return np.zeros(0, U64)
@@ -143,8 +149,11 @@ def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     v *= powers(_Q, n)
     total = np.zeros(n + 1, U64)
     np.cumsum(v, out=total[1:])
-    h = (total[ends] - total[starts]) * powers(_QINV, n + 1)[starts]
-    return mix(h + (ends - starts).astype(U64))
+    h = mix((total[ends] - total[starts]) * powers(_QINV, n + 1)[starts] + (ends - starts).astype(U64))
+    if symbols.dtype != U64:
+        for k in np.flatnonzero(ends - starts > LONG_SPAN).tolist():
+            h[k] = int.from_bytes(hashlib.blake2b(symbols[starts[k] : ends[k]].tobytes(), digest_size=8).digest(), "little")
+    return h
 
 
 _WORD = np.zeros(256, bool)

@@ -10,7 +10,7 @@ Rates above ``PIECE`` are drawn as a sum of independent Poisson pieces, so no ra
 copies are capped.
 
 Nulls and edges: a null source is a source of its own; a null doc_id is hashed as the word null; a null text is
-copied as it is; equal rows draw the same count; a source missing from ``weights`` has ``default`` weight, a
+copied as it is, a very long one too; equal rows draw the same count, and copies that tie in the hash order lie in any order; a source missing from ``weights`` has ``default`` weight, a
 weight of 0 drops it; extra columns are carried, but for one named ``copy``, which the number of the copy
 replaces; an empty table gives no rows.
 """
@@ -54,21 +54,21 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, defau
     return rate.select("_gr_source", F.col("rate").alias("_gr_rate"), F.col("pieces").alias("_gr_pieces"), F.when(F.col("mean") > 0, reached).otherwise(F.array().cast("array<double>")).alias("_gr_cdf"), (F.col("mean") > 0).alias("_gr_some"))
 
 
-def replicate(docs: DataFrame, weights: dict[str, float] | None = None, default: float = 1.0, seed: int = SEED, shuffle: bool = True) -> DataFrame:
-    """docs with a column ``copy`` (0, 1, ...), each row as often as its draw says, in a global random order."""
+def replicate(docs: DataFrame, weights: dict[str, float] | None = None, default: float = 1.0, seed: int = SEED, shuffle: bool = True, copy: str = "copy") -> DataFrame:
+    """docs with a column ``copy`` (0, 1, ...; or so named), each row as often as its draw says, in a global random order."""
     rates = C.cut(source_rates(docs, weights, default))
     key = [F.lit(str(seed)), F.coalesce(docs["doc_id"].cast("string"), F.lit("null"))]
     uniform = F.transform(F.sequence(F.lit(1), rates["_gr_pieces"]), lambda p: _uniform(*key, p.cast("string")))
     draws = F.transform(uniform, lambda u: F.size(F.filter(rates["_gr_cdf"], lambda c: c <= u)))
     joined = docs.join(C.broadcast_if_small(rates, 8 * TERMS + 64), docs["source"].eqNullSafe(rates["_gr_source"]))
     count = F.when(rates["_gr_some"], F.aggregate(draws, F.lit(0), lambda a, b: a + b)).otherwise(0)
-    kept = [docs[f"`{c}`"] for c in docs.columns if c != "copy"]
+    kept = [docs[f"`{c}`"] for c in docs.columns if c.lower() != copy.lower()]
     n, place = C.fresh(docs, "_gr_n"), C.fresh(docs, "_gr_place")
     out = joined.select(*kept, count.alias(n)).filter(F.col(n) > 0)
-    out = out.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col(n) - 1))).drop(n)
+    out = out.withColumn(copy, F.explode(F.sequence(F.lit(0), F.col(n) - 1))).drop(n)
     if not shuffle:
         return out
-    out = out.withColumn(place, F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("copy")))
+    out = out.withColumn(place, F.xxhash64(F.lit(seed), F.col("doc_id"), F.col(copy)))
     return out.repartition(F.col(place)).sortWithinPartitions(place).drop(place)
 
 

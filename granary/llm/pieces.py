@@ -13,7 +13,8 @@ result is made of has been compared with the library.
 Nulls and edges: a null or empty text has no pieces and decodes to an empty text; a null doc_id is carried
 through; equal rows give equal rows; extra columns are ignored; an empty table gives no rows. A text that holds
 the character U+2581 decodes to one with blanks in its place, as the library has it; ``round_trip`` is false then.
-Vocabularies with a normaliser that changes text, or with user-defined symbols, are refused.
+Vocabularies with a normaliser that changes text, with user-defined symbols or without byte pieces are refused. A
+very long text is encoded whole, as a step of its own; of pairs with equal scores the leftmost merges.
 """
 
 from __future__ import annotations
@@ -86,6 +87,8 @@ class Vocabulary:
             raise ValueError(f"{path}: only identity normalisation with escaped white space, and no user-defined symbols")
         self.prefix = bool(normal.get(3, 1))
         size = len(kinds)
+        if kinds.count(6) < 256:
+            raise ValueError(f"{path}: byte pieces are needed, so that each character has pieces of its own")
         self.pieces = [self.library.id_to_piece(i) for i in range(size)]
         self.unknown = self.library.unk_id()
         score = np.array([self.library.get_score(i) for i in range(size)])
@@ -146,7 +149,7 @@ class Vocabulary:
                 at += len(self.pieces[x])
             else:
                 b = [int(self.byte[k]) for k in unit[at].encode()]
-                out += b if min(b) >= 0 else [self.unknown]
+                out += b
                 at += 1
         return out
 

@@ -9,7 +9,8 @@ of a batch through all trees level by level, without a Python loop over rows.
 
 Nulls and edges: a null or empty text has zero statistics and is scored like any other; a null doc_id is scored
 and carried through, it just can't have a label; equal rows get equal scores; labels with a null quality, or for
-no document, are unused; where the labels hold fewer than two classes every document scores 1 and is kept; extra
+no document, are unused; of several texts with one labelled doc_id the least is fitted on; a very long text is read
+whole, as a step of its own; a score that equals the bound is kept; where the labels hold fewer than two classes every document scores 1 and is kept; extra
 columns are carried by the filter and ignored by the scores; an empty table gives no rows.
 """
 
@@ -191,7 +192,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int)
     """(doc_id, text, label) of at most ``bound`` labelled documents, those of least hash: the same in every run."""
     some = C.same_names(labels, "doc_id", label).filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     some = some.orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(bound)
-    return C.same_names(docs, "doc_id", "text").join(F.broadcast(some), "doc_id")  # the bound is the check of its size
+    found = C.same_names(docs, "doc_id", "text").join(F.broadcast(some), "doc_id")  # the bound is the check of its size
+    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")
 
 
 def fitted(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> Forest | None:

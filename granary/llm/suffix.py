@@ -41,6 +41,8 @@ from granary.llm import common as C
 SHARD_BYTES = 4 << 20
 WINDOW, PREFIX, GRAM = 10, 41, 3
 LANES = 2048
+#: Bytes of input for each partition of the merge, and the most partitions there are.
+MERGE_BYTES, MOST_PARTS = 16 << 20, 1 << 16
 U64 = np.uint64
 
 
@@ -325,10 +327,17 @@ def _every_merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     C.give_back()
 
 
+def merge_parts(docs: DataFrame) -> int:
+    """Partitions of the merge: with the input's size as the plan knows it, so that a task's share of it stays the same."""
+    least = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return least if size >> 60 else max(least, min(size // MERGE_BYTES, MOST_PARTS))
+
+
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """(doc_id, start, end, first, windows): every window of PREFIX words that repeats, wherever it starts; neighbours mostly together."""
     rows = C.same_names(docs, "doc_id", "text").filter("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = merge_parts(docs)
     packed = rows.mapInArrow(_every_shard(parts), "part int, keys binary, places binary").repartitionById(parts, F.col("part"))
     return packed.mapInArrow(_every_merged, "doc_id bigint, start int, end int, first boolean, windows bigint")
 

@@ -10,7 +10,8 @@ The frequent ones are found over the whole corpus: every task keeps a bounded fr
 Which pre-tokens the table holds decides how fast a count is, never what it is.
 
 Nulls and edges: a null or empty text has 0 tokens; a null doc_id is carried through; equal rows give equal rows;
-other columns are ignored, whatever their names; an empty table gives no rows. Special tokens' strings in a text
+other columns are ignored, whatever their names; an empty table gives no rows. A very long text is counted whole, as a step of its own; of
+equally frequent pre-tokens those that sort first enter the table. Special tokens' strings in a text
 are ordinary text.
 """
 

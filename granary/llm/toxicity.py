@@ -18,7 +18,7 @@ marginals as independent; offending offsets are the runs of adjacent tokens with
 
 Nulls and edges: null, empty and wordless texts have no tokens, score 0 and never show; a very long text is read
 whole, as a step of its own; a null doc_id is carried through (it can't be labelled); equal rows give equal results;
-a score that equals the bound is flagged; a doc_id labelled twice counts as toxic if any label says so; labels with a
+a score that equals the bound is flagged; a doc_id labelled twice counts as toxic if any label says so, and the least of its texts is fitted on; labels with a
 null toxic, or for no document, are unused; without toxic labels nothing is flagged; other columns are ignored; an
 empty table gives no rows.
 """
@@ -333,7 +333,8 @@ def fitted(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> Tag
     some = C.same_names(labels, "doc_id", "toxic").filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     order = [F.xxhash64("doc_id", F.lit(13)), "doc_id"]
     picked = some.filter("toxic = 1").orderBy(*order).limit(bound).union(some.filter("toxic = 0").orderBy(*order).limit(bound))
-    sample = C.written(C.same_names(docs, "doc_id", "text").join(F.broadcast(picked), "doc_id"))  # the bound is the check of its size
+    rows = C.same_names(docs, "doc_id", "text").join(F.broadcast(picked), "doc_id")  # the bound is the check of its size
+    sample = C.written(rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic"))
 
     def over(f, schema: str) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

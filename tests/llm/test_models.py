@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,106 @@ def test_statistics_by_hand():
     assert (quality.statistics(pa.array([None, ""], pa.string())) [:, :2] == 0).all()
 
 
+def plain_statistics(t):
+    """quality.statistics of one text, by string methods alone."""
+    share = lambda a, b: a / b if b else 0.0
+    count = lambda f: sum(1 for c in t if f(c))
+    blanks = "".join(chr(k) for k in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32))
+    toks = re.split(f"[{blanks}]+", t.strip(blanks)) if t.strip(blanks) else []
+    lines = [x for x in t.split("\n") if x]
+    chars, letters = len(t), count(lambda c: c.isascii() and c.isalpha() or ord(c) > 127)
+    plain = [w for w in re.split(r"[^0-9A-Za-z_\x80-\U0010ffff]+", t) if w]
+    space = count(lambda c: c in "\t\n\v\f\r ")
+    top = max((toks.count(w) for w in set(toks)), default=0)
+    return [
+        chars, len(toks), share(chars - space, len(toks)), share(letters, chars), share(count(lambda c: "A" <= c <= "Z"), letters), share(count(lambda c: c in "0123456789"), chars), share(space, chars),
+        share(count(lambda c: c in "#$%&*+/<=>@[\\]^_`{|}~"), chars), share(count(lambda c: c in "!\"'(),-.:;?"), chars), share(len(set(toks)), len(toks)), share(top, len(toks)), share(sum(a == b for a, b in zip(toks, toks[1:])), len(toks)),
+        1 - share(len(set(lines)), len(lines)), share(len(toks), len(lines)), share(sum(w in quality._STOP.split() for w in plain), len(toks)), share(sum(len(w.encode()) <= 2 for w in toks), len(toks)), share(sum(x[-1] in ".!?" for x in lines), len(lines)), share(t.count("|"), len(toks)),
+    ]
+
+
+def plain_forest(x, y, sign, trees, depth, bins=quality.BINS):
+    """Boosted trees by trying every split of every feature on the rows themselves; returns the margin of a row."""
+    cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
+    base = float(np.log(y.mean() / (1 - y.mean())))
+    margin, grown = [base] * len(y), []
+
+    def grow(rows, level, low, high):
+        total_g, total_h = sum(g[i] for i in rows), sum(h[i] for i in rows)
+        leaf = ("leaf", min(max(-total_g / (total_h + quality.LAMBDA), low), high) * quality.RATE)
+        if level == depth or len(rows) < 8:
+            return leaf
+        best = (1e-6, None)
+        for j in range(x.shape[1]):
+            for c in cuts[j]:
+                left = [i for i in rows if x[i, j] <= c]
+                gl, hl = sum(g[i] for i in left), sum(h[i] for i in left)
+                gr, hr = total_g - gl, total_h - hl
+                vl, vr = -gl / (hl + quality.LAMBDA), -gr / (hr + quality.LAMBDA)
+                gain = gl**2 / (hl + quality.LAMBDA) + gr**2 / (hr + quality.LAMBDA) - total_g**2 / (total_h + quality.LAMBDA)
+                if min(hl, hr) >= quality.MIN_HESS and (vr - vl) * sign[j] >= 0 and gain > best[0] + 1e-12:
+                    best = (gain, (j, c, vl, vr))
+        if best[1] is None:
+            return leaf
+        j, c, vl, vr = best[1]
+        mid = min(max((vl + vr) / 2, low), high)
+        down, up = {0: ((low, high), (low, high)), 1: ((low, mid), (mid, high)), -1: ((mid, high), (low, mid))}[sign[j]]
+        return (j, c, grow([i for i in rows if x[i, j] <= c], level + 1, *down), grow([i for i in rows if x[i, j] > c], level + 1, *up))
+
+    def walk(row, node):
+        while node[0] != "leaf":
+            node = node[2] if row[node[0]] <= node[1] else node[3]
+        return node[1]
+
+    for _ in range(trees):
+        p = [1 / (1 + np.exp(-m)) for m in margin]
+        g, h = [a - b for a, b in zip(p, y)], [max(a * (1 - a), 1e-6) for a in p]
+        grown.append(grow(list(range(len(y))), 0, -np.inf, np.inf))
+        margin = [m + walk(r, grown[-1]) for m, r in zip(margin, x)]
+    return lambda row: base + sum(walk(row, t) for t in grown)
+
+
+def test_fit_against_trying_every_split():
+    rng = np.random.default_rng(3)
+    x = np.round(rng.random((90, 3)), 2)
+    y = (x[:, 0] - x[:, 1] + 0.3 * rng.normal(size=90) > 0).astype(float)
+    for sign in ((0, 0, 0), (1, -1, 0), (-1, 0, 1)):
+        f = quality.fit(x, y, dict(zip("abc", sign)), ("a", "b", "c"), trees=4, depth=3)
+        want = plain_forest(x, y, sign, 4, 3)
+        assert np.allclose(f.margin(x), [want(r) for r in x])
+
+
+def test_statistics_against_string_methods(labelled):
+    texts = [t for t in labelled.text if len(t) < 30_000][:250] + ["", "a", "\n\n", "é|| x\x1cY.", "The cat\nThe cat\n", " a  b "]
+    got = quality.statistics(pa.array(texts))
+    for t, row in zip(texts, got):
+        assert np.allclose(row, plain_statistics(t)), t
+
+
+def test_query_rows_against_plain_statistics_and_walk(spark, sf):
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    forest = quality.fitted(docs, labels)
+
+    def walk(row, node):
+        while forest.left[node] != node:
+            node = forest.left[node] if row[forest.feature[node]] <= forest.threshold[node] else forest.right[node]
+        return forest.value[node]
+
+    want = {}
+    for r in docs.collect():
+        row = plain_statistics(r.text)
+        want[r.doc_id] = 1 / (1 + np.exp(-forest.base - sum(walk(row, root) for root in forest.roots)))
+    got = {r.doc_id: r.quality for r in quality.accepted(docs, labels).collect()}
+    assert got.keys() == {k for k, v in want.items() if v >= quality.KEEP_FROM}
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
+
+
+def test_rows_with_one_labelled_id_stay_bounded(spark):
+    docs = spark.createDataFrame([(1, f"text {k:04}") for k in range(300)] + [(2, "good text")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 0, 1), (2, 1, 0)], "doc_id bigint, quality int, toxic int")
+    assert [(r.doc_id, r.text) for r in quality.labelled_sample(docs, labels, "quality", 10).orderBy("doc_id").collect()] == [(1, "text 0000"), (2, "good text")]
+
+
 def test_trees_are_monotone_and_flattened_right():
     rng = np.random.default_rng(0)
     x = rng.random((3000, 3))

@@ -22,7 +22,7 @@ texts = st.lists(st.one_of(st.text(alphabet=ODD, max_size=40), st.text(max_size=
 def lengths(frequent=()):
     cps, offs = code_points(pa.array(list(frequent), pa.string()))
     one = token_counts.encoding(token_counts.VOCABULARY)._core_bpe.encode_single_piece
-    return token_counts.Lengths(token_counts.VOCABULARY, token_counts.C.span_hashes(cps, offs[:-1], offs[1:]), np.array([len(one(p.encode())) for p in frequent], np.uint8))
+    return token_counts.Lengths(token_counts.VOCABULARY, token_counts.C.span_hashes(cps, offs[:-1], offs[1:]), np.array([len(one(p.encode())) for p in frequent], np.int32))
 
 
 @settings(max_examples=150, deadline=None)
@@ -107,3 +107,43 @@ def test_pieces_on_tables(spark, sf, odd, odd_rows, none):
     got = sorted((str(r.doc_id), r.ids) for r in pieces.encoded(odd).collect())
     assert got == sorted((str(r[0]), lib.encode(r[1] or "")) for r in odd_rows)
     assert pieces.encoded(none).count() == 0
+
+
+def test_decoding_odd_rows(spark, none):
+    rows = [(1, None), (2, []), (None, [5, None, 7]), (3, [9])]
+    df = spark.createDataFrame(rows, "doc_id bigint, ids array<int>")
+    lib = pieces.vocabulary(pieces.MODEL)[0].library
+    assert {r.doc_id: r.text for r in pieces.decoded(df).collect()} == {1: "", 2: "", None: lib.decode([5, 7]), 3: lib.decode([9])}
+    assert pieces.decoded(df.limit(0)).count() == 0
+
+
+def test_texts_made_up_to_collide_are_told_apart():
+    """Thue-Morse strings and their complements have one polynomial hash modulo 2**64, whatever its base."""
+    n = 1 << 12
+    bits = np.array([bin(k).count("1") & 1 for k in range(n)])
+    a, b = "".join("xy"[k] for k in bits), "".join("yx"[k] for k in bits)
+    for text in ([a, b], [f"{a} {b}"]):
+        cps, offs = code_points(pa.array(text))
+        s, e, _ = token_counts.pre_tokens(cps, offs)
+        h = token_counts.C.span_hashes(cps, s, e)
+        assert len(h) == 2 and h[0] != h[1]
+    v, cache = pieces.vocabulary(pieces.MODEL)
+    ids, count = v.encode(pa.array([a, b]), cache)
+    assert v.decode(ids, count) == [a, b]
+
+
+@pytest.mark.parametrize("text", ["x" * 1_000_000, "wort " * 200_000, "\u4e2d\u6587" * 150_000, "a\n" * 300_000])
+def test_very_long_texts(text):
+    from granary.llm import line_dedup, near_dup, pii, quality, suffix, toxicity
+
+    column, ids = pa.array([text, None, ""]), pa.array([1, 2, 3], pa.int64())
+    enc = token_counts.encoding(token_counts.VOCABULARY)
+    got = token_counts.counted(ids, column, lengths())
+    if len(set(text)) > 1:  # the library itself needs quadratic time for one long run of a letter
+        assert got.column(2).to_pylist() == [len(enc.encode_ordinary(text)), 0, 0]
+    assert line_dedup.units_of(ids, column).num_rows >= 1
+    assert len(near_dup._sets_of(pa.RecordBatch.from_arrays([ids, column], names=["doc_id", "text"]))[0]) == 1
+    assert len(pii.entities_of(column, pii.fitted())[0]) == 0
+    assert quality.statistics(column).shape == (3, 18)
+    assert len(suffix.shard_rows(ids.to_numpy(), column, True)) == 7
+    assert toxicity.tag(column, toxicity.nothing())[0].tolist() == [0.0, 0.0, 0.0]
