@@ -11,14 +11,14 @@ TOP_DOMAINS = sorted("app au biz br ca cloud cn co com de dev edu fr gov info io
 _BYTE = r"(?:1?\d?\d|2[0-4]\d|25[0-5])"
 _HIVES = "HKEY_(?:CURRENT_(?:CONFIG|USER)|LOCAL_MACHINE|CLASSES_ROOT|USERS)|HK(?:LM|CU|CR|U|CC)"
 _ROOTS = "|".join(sorted("Applications Library System Users Volumes bin etc home opt private root sbin tmp usr var".split(), reverse=True))
-CVE = r"(?i)\b(CVE-\d{4}" + r"-\d{4,7})\b"
+CVE = r"(?i)\b(CVE-[0-9]{4}-[0-9]{4,7})\b"
 HASH = r"\b([0-9A-Fa-f]{64}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{32})\b"
 IPV4 = rf"\b((?:{_BYTE}\.){{3}}{_BYTE})\b"
 DOMAIN = rf"\b((?:[0-9A-Za-z](?:[0-9A-Za-z-]{{0,61}}[0-9A-Za-z])?\.)+(?:{'|'.join(TOP_DOMAINS)}))\b"
 DRIVE = r"""(?i)\b([A-Z]:\\[^\s"'<>|]+)"""
 REGISTRY = rf"(?i)\b((?:{_HIVES})\\[\w\\/*.$%{{}}-]+)"
 UNIX = rf"""(?:^|[^\w])(/(?:{_ROOTS})/[^\s"'<>]+)"""
-EVENT = r"(?i)\b(?:EID|Event\s+ID)\s*[-:#]?" + r"\s*" + r"(\d{3,5})\b"
+EVENT = r"(?i)\b(?:EID|Event\s+ID)\s*[-:#]?\s*([0-9]{3,5})\b"
 
 
 def _all(c: Column, pattern: str) -> Column:

@@ -20,7 +20,7 @@ BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 OPENING, CLOSING, GENERAL = "<reasoning>", "</reasoning>", r"(?i)\[GENERAL KNOWLEDGE\]"
 
 
-CAVEAT = r"(?md)^CV(\d+)" + r"\s+\[applies_to" + r"\s+([^\]]+)" + r"\]:" + r"\s*(.*)$"
+CAVEAT = r"(?md)^CV([0-9]+)\s+\[applies_to\s+([^\]]+)\]:\s*(.*)$"
 
 
 def word_count(c: Column) -> Column:

@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from granary.operators.sampling import numbered
 
-def over_represented(rows: DataFrame, group: str, order: list, share: float = 0.5) -> DataFrame:
+
+def over_represented(rows: DataFrame, group: str, order: list[str], share: float = 0.5) -> DataFrame:
     """rows with a flag ``surplus``: of each group beyond its allowed share the first ones in order.
 
-    One pass: shares are of the rows before the gate. Nothing is surplus where there is one group only.
+    One pass: shares are of the rows before the gate. Nothing is surplus where there is one group only. Rows are
+    written once and numbered within their groups by ranges of (group, order), so neither are they made twice nor is a
+    group that holds most of them sorted by one task.
     """
-    sizes = rows.groupBy(group).agg(F.count("*").alias("_gr_n"))
-    total = sizes.agg(F.sum("_gr_n").alias("_gr_all"), F.count("*").alias("_gr_groups"))
-    limits = sizes.crossJoin(F.broadcast(total)).withColumn("_gr_surplus", F.when(F.col("_gr_groups") > 1, F.col("_gr_n") - F.greatest(F.lit(1), F.floor(F.col("_gr_all") * share))).otherwise(0))
-    limits = limits.select(F.col(group).alias("_gr_g"), "_gr_surplus")
-    ranked = rows.join(F.broadcast(limits), F.col(group).eqNullSafe(F.col("_gr_g"))).withColumn("_gr_r", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    return ranked.withColumn("surplus", F.col("_gr_r") <= F.col("_gr_surplus")).drop("_gr_g", "_gr_surplus", "_gr_r")
+    ranked = numbered(rows, [group, *order], "_gr_all")
+    sizes = ranked.groupBy(group).agg(F.count("*").alias("_gr_n"), F.min("_gr_all").alias("_gr_first"))
+    total = sizes.agg(F.sum("_gr_n").alias("_gr_rows"), F.count("*").alias("_gr_groups"))
+    over = F.when(F.col("_gr_groups") > 1, F.col("_gr_n") - F.greatest(F.lit(1), F.floor(F.col("_gr_rows") * share))).otherwise(0)
+    limits = sizes.crossJoin(total).select(F.col(group).alias("_gr_g"), (F.col("_gr_first") + over).alias("_gr_last"))  # total is one row
+    out = ranked.join(limits, F.col(group).eqNullSafe(F.col("_gr_g")))
+    return out.withColumn("surplus", F.col("_gr_all") < F.col("_gr_last")).drop("_gr_g", "_gr_last", "_gr_all")
 
 
 def distributions(rows: DataFrame, fields: dict[str, str], missing: str = "<missing>") -> DataFrame:

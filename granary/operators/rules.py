@@ -15,7 +15,7 @@ from granary.functions import text as X
 from granary.functions.values import clamped
 from granary.operators import reasoning as R
 
-_NUMBER = r"T\d{4}" + r"(?:\.\d{3})?" + r"\??"
+_NUMBER = r"T[0-9]{4}(?:\.[0-9]{3})?\??"
 MITRE, ATLAS = f"^{_NUMBER}$", rf"^AML\.{_NUMBER}$"
 MITRE_IN, ATLAS_IN = rf"\b({_NUMBER})\b", rf"\b(AML\.{_NUMBER})\b"
 WEIGHTS = dict(zip("factual_accuracy reasoning_quality operational_relevance specificity completeness".split(), (0.25, 0.25, 0.2, 0.15, 0.15)))
@@ -123,19 +123,39 @@ def _rejected_for(issues: Column, code: str) -> Column:
     return F.exists(issues, lambda x: (x["code"] == code) & (x["severity"] == "reject"))
 
 
-def decided(rows: DataFrame, policy: dict) -> DataFrame:
-    """rows with issues, quality_status, final_answer and the scores; null scores where the source document is missing."""
+#: Rules in the order in which their issues stand.
+RULES = ("schema", "source_missing", "source_mismatch", "category", "taxonomy", "mapping_ids", "tools", "reasoning", "grounding", "invented")
+
+
+def checked(rows: DataFrame, policy: dict) -> DataFrame:
+    """rows with one column of issues for each rule, ``issues_<rule>``: what isn't selected isn't evaluated.
+
+    A row that is no candidate (column ``schema_problem``, null or absent where it is one) has that issue alone, one
+    without its document ``source_missing`` alone.
+    """
     c = F.col
     rows = rows.withColumn("final_answer", X.final_answer(c("response"))).withColumn("_gr_corpus", I.source_corpus(c("doc_title"), c("doc_url"), c("doc_text"), c("doc_metadata")))
     rows, parts = R.prepared(rows)
     output = output_text(c("instruction"), c("response"), c("mitre_techniques"), c("atlas_techniques"), c("tools_referenced"))
-    checks = F.concat(
-        mismatch(c("source"), c("doc_source")), category(c("category"), list(policy["signals"])), taxonomy(c("taxonomy_refs"), policy["taxonomy"]),
-        mapping_ids(c("mitre_techniques"), c("atlas_techniques"), c("response"), policy["attack_ids"], policy["atlas_ids"]),
-        tools(c("tools_referenced"), c("_gr_corpus"), policy["tools"]), R.issues(c("response"), p=parts), grounding(c("grounding"), c("response")), invented(output, c("_gr_corpus"), c("grounding")),
-    )
-    gone = F.array(R.issue("source_missing", "reject", F.concat(F.lit("no document "), c("source_doc_id"))))
-    rows = rows.withColumn("issues", F.when(c("doc_source").isNull(), gone).otherwise(checks)).withColumn("quality_status", status(c("issues")))
+    bad = c("schema_problem").isNotNull() if "schema_problem" in rows.columns else F.lit(False)
+    gone = c("doc_source").isNull()
+    none = F.array().cast(R.ISSUE)
+    found = {
+        "source_mismatch": mismatch(c("source"), c("doc_source")), "category": category(c("category"), list(policy["signals"])), "taxonomy": taxonomy(c("taxonomy_refs"), policy["taxonomy"]),
+        "mapping_ids": mapping_ids(c("mitre_techniques"), c("atlas_techniques"), c("response"), policy["attack_ids"], policy["atlas_ids"]), "tools": tools(c("tools_referenced"), c("_gr_corpus"), policy["tools"]),
+        "reasoning": R.issues(c("response"), p=parts), "grounding": grounding(c("grounding"), c("response")), "invented": invented(output, c("_gr_corpus"), c("grounding")),
+    }
+    columns = {f"issues_{k}": F.when(bad | gone, none).otherwise(v) for k, v in found.items()}
+    columns["issues_source_missing"] = R.when(gone & ~bad, R.issue("source_missing", "reject", F.concat(F.lit("no document "), F.coalesce(c("source_doc_id").cast("string"), F.lit("(null)")))))
+    columns["issues_schema"] = R.when(bad, R.issue("schema_invalid", "reject", c("schema_problem"))) if "schema_problem" in rows.columns else none
+    return rows.withColumns(columns).drop(*[f"_gr_{k}" for k in parts])
+
+
+def decided(rows: DataFrame, policy: dict) -> DataFrame:
+    """rows with issues, quality_status, final_answer and the scores; null scores where the source document is missing."""
+    c = F.col
+    rows = checked(rows, policy)
+    rows = rows.withColumn("issues", F.concat(*[c(f"issues_{k}") for k in RULES])).drop(*[f"issues_{k}" for k in RULES]).withColumn("quality_status", status(c("issues")))
     scored = {
         "factual_accuracy": F.when(_rejected_for(c("issues"), "invented_indicator"), 1.0).when(_rejected_for(c("issues"), "grounding_mismatch"), 2.0).otherwise(5.0),
         "reasoning_quality": F.when(_rejected_for(c("issues"), "reasoning_links_invalid"), 1.0).otherwise(5.0),
@@ -143,7 +163,7 @@ def decided(rows: DataFrame, policy: dict) -> DataFrame:
         "specificity": specificity(c("final_answer"), c("_gr_corpus")),
         "completeness": completeness(c("response"), c("final_answer")),
     }
-    there = c("doc_source").isNotNull()
+    there = ~F.exists("issues", lambda x: x["code"].isin("schema_invalid", "source_missing"))
     rows = rows.withColumns({k: F.when(there, v) for k, v in scored.items()})
     total = sum((c(k) * w for k, w in WEIGHTS.items()), F.lit(0.0)) / sum(WEIGHTS.values())
-    return rows.withColumn("score_total", F.round(total, 3)).drop("_gr_corpus", *[f"_gr_{k}" for k in parts])
+    return rows.withColumn("score_total", F.round(total, 3)).drop("_gr_corpus")

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions import text as X
-from granary.operators import assignment, balance, neardup, packaging, rules
+from granary.operators import assignment, balance, gates, neardup, packaging, rules
 from granary.plans.base import SQL, candidates, query, sql_decisions, sql_tokens, table
 from granary.plans.policy import CATEGORY_TARGETS, DIFFICULTY_TARGETS, POLICY, TAXONOMY
+from granary.sources import jsonl
 
 C = F.col
 DECIDED = sql_decisions()
@@ -36,11 +37,11 @@ def agg_01_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decisions(spark, sf_dir).groupBy("source", "quality_status").agg(F.count("*").alias("n"), (F.sum(F.round(C("score_total") * 1000).cast("bigint")).cast("double") / (F.count("score_total") * 1000).cast("double")).alias("mean_score"))
 
 
-def _rule(name: str, columns: dict[str, str]):
+def _rule(name: str, rule: str, columns: dict[str, str]):
     @query(DECIDED + "SELECT doc_id, " + ", ".join(f"{n}::INT AS {n}" for n in columns) + " FROM decided WHERE NOT gone")
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = decisions(spark, sf_dir).filter("doc_source is not null")
-        return rows.select("doc_id", *_counts(rows, columns))
+        rows = rules.checked(candidates(spark, sf_dir), POLICY).filter("doc_source is not null")
+        return rows.select("doc_id", F.col(f"issues_{rule}").alias("issues")).select("doc_id", *_counts(rows, columns))
 
     run.__name__ = name
     from granary.plans.base import QUERIES
@@ -50,8 +51,12 @@ def _rule(name: str, columns: dict[str, str]):
     return run
 
 
-for _name, _columns in {"val_03_source_mismatch": ["n_mismatch"], "val_04_category": ["n_category"], "val_05_taxonomy": ["n_taxonomy"], "val_06_mapping_ids": ["n_attack", "n_atlas", "n_mapping"], "val_07_tools": ["n_tools"], "val_08_reasoning_issues": ["links", "too_long"], "val_09_grounding": ["n_grounding"], "val_10_invented": ["n_invented"]}.items():
-    _rule(_name, {k: CODES[k] for k in _columns})
+for _name, _of, _columns in (
+    ("val_03_source_mismatch", "source_mismatch", ["n_mismatch"]), ("val_04_category", "category", ["n_category"]), ("val_05_taxonomy", "taxonomy", ["n_taxonomy"]),
+    ("val_06_mapping_ids", "mapping_ids", ["n_attack", "n_atlas", "n_mapping"]), ("val_07_tools", "tools", ["n_tools"]), ("val_08_reasoning_issues", "reasoning", ["links", "too_long"]),
+    ("val_09_grounding", "grounding", ["n_grounding"]), ("val_10_invented", "invented", ["n_invented"]),
+):
+    _rule(_name, _of, {k: CODES[k] for k in _columns})
 
 
 @query(DECIDED + "SELECT doc_id, source_doc_id FROM decided WHERE gone")
@@ -100,13 +105,13 @@ balanced AS (SELECT ranked.*, (SELECT count(*) FROM sizes) > 1 AND r <= s.n - gr
 
 @query(_FILTERED + _SURPLUS + "SELECT doc_id, lang, score_total, surplus FROM balanced")
 def win_04_source_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = decisions(spark, sf_dir).filter("quality_status = 'filtered'")
-    return balance.over_represented(rows, "lang", ["score_total", "doc_id"]).select("doc_id", "lang", "score_total", "surplus")
+    rows = decisions(spark, sf_dir).filter("quality_status = 'filtered'").select("doc_id", "lang", "score_total")
+    return balance.over_represented(rows, "lang", ["score_total", "doc_id"])
 
 
 @query(_FILTERED + _SURPLUS + "SELECT lang, count(*) AS initial, count(*) FILTER (WHERE NOT surplus) AS final FROM balanced GROUP BY ALL")
 def agg_06_balance_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = decisions(spark, sf_dir).filter("quality_status = 'filtered'")
+    rows = decisions(spark, sf_dir).filter("quality_status = 'filtered'").select("doc_id", "lang", "score_total")
     return balance.over_represented(rows, "lang", ["score_total", "doc_id"]).groupBy("lang").agg(F.count("*").alias("initial"), F.count_if(~F.col("surplus")).alias("final"))
 
 
@@ -134,11 +139,102 @@ def seq_01_neardup_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.similar_pairs(_token_rows(spark, sf_dir), least_tokens=neardup.LEAST_TOKENS).select("a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
-@query()
+def _greedy(edges: str, rank: str) -> str:
+    """CTEs after ``edges`` (a, b, and b's rank): the rows that the greedy choice drops, taken one by one in rank order."""
+    return f""", later AS (SELECT b, {rank} AS place, list(a) AS above FROM {edges} GROUP BY ALL),
+turns AS (SELECT b, above, row_number() OVER (ORDER BY place) AS i FROM later),
+walk AS (
+  SELECT 0::BIGINT AS i, []::BIGINT[] AS gone
+  UNION ALL
+  SELECT t.i, CASE WHEN len(list_filter(t.above, lambda x: NOT list_contains(w.gone, x))) > 0 THEN list_append(w.gone, t.b) ELSE w.gone END FROM walk w JOIN turns t ON t.i = w.i + 1
+),
+dropped AS (
+  SELECT t.b AS key, list_min(list_filter(t.above, lambda x: NOT list_contains(g.gone, x))) AS kept_key FROM turns t, (SELECT gone FROM walk ORDER BY i DESC LIMIT 1) g WHERE list_contains(g.gone, t.b)
+)"""
+
+
+_RECURSIVE = lambda ctes: ctes.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query(_RECURSIVE(_RANKED) + _greedy("edges", "rb") + " SELECT key AS doc_id, kept_key FROM dropped")
 def seq_01_neardup_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.dropped(neardup.similar_pairs(_token_rows(spark, sf_dir), least_tokens=neardup.LEAST_TOKENS)).select(F.col("key").alias("doc_id"), "kept_key")
 
 
+_RECORD = sql_tokens("instruction || chr(10) || final_answer")
+
+
+@query(DECIDED + f"SELECT doc_id, array_to_string(list_sort({_RECORD}), ' ') AS tokens FROM decided")
+def str_03_record_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = gates.record_tokens(C("instruction"), X.final_answer(C("response")))
+    return candidates(spark, sf_dir).select("doc_id", F.array_join(F.array_sort(tokens), " ").alias("tokens"))
+
+
+_GATED = (
+    _RECURSIVE(DECIDED)
+    + f""", eligible AS (
+  SELECT doc_id, t, len(t) AS n, row_number() OVER (ORDER BY coalesce(score_total, 0.0) DESC, doc_id) AS rank FROM (SELECT doc_id, score_total, {_RECORD} AS t FROM decided WHERE quality_status <> 'rejected')
+), each AS (SELECT doc_id, rank, n, unnest(t) AS tok FROM eligible),
+edges AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, any_value(y.rank) AS rb FROM each x JOIN each y ON x.tok = y.tok AND x.rank < y.rank
+  WHERE y.n >= 8 GROUP BY x.doc_id, y.doc_id HAVING count(*) / (any_value(x.n) + any_value(y.n) - count(*))::DOUBLE >= 0.8
+)"""
+    + _greedy("edges", "rb")
+    + """, first_gate AS (
+  SELECT d.*, g.key IS NOT NULL AS twin, g.kept_key, CASE WHEN g.key IS NOT NULL THEN 'rejected' ELSE quality_status END AS status1 FROM decided d LEFT JOIN dropped g ON g.key = d.doc_id
+), filtered AS (SELECT * FROM first_gate WHERE status1 = 'filtered'),
+sizes AS (SELECT lang, count(*) AS n FROM filtered GROUP BY ALL),
+ranked AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY score_total, doc_id) AS r FROM filtered),
+over AS (SELECT doc_id FROM ranked JOIN sizes USING (lang) WHERE (SELECT count(*) FROM sizes) > 1 AND r <= n - greatest(1, floor((SELECT sum(n) FROM sizes) * 0.5))),
+gated AS (SELECT f.*, o.doc_id IS NOT NULL AS over, CASE WHEN o.doc_id IS NOT NULL THEN 'review' ELSE status1 END AS status2 FROM first_gate f LEFT JOIN over o ON o.doc_id = f.doc_id)
+"""
+)
+_ALL_ISSUES = " + ".join(["gone::INT", "twin::INT", "over::INT", *[f"CASE WHEN gone THEN 0 ELSE {n} END" for n in CODES]])
+
+
+def _gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gates.gated(decisions(spark, sf_dir), "doc_id", "lang", 0.5)
+
+
+@query(_GATED + f"SELECT doc_id, status2 AS quality_status, twin::INT AS n_duplicate, over::INT AS n_over, kept_key, ({_ALL_ISSUES})::INT AS n_issues, CASE WHEN NOT gone THEN score_total END::DOUBLE AS score_total FROM gated")
+def agg_19_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate end to end: row rules, near duplicates, balance; each adds its issue and the status follows."""
+    rows = _gated(spark, sf_dir)
+    kept = F.filter("issues", lambda x: x["code"] == "duplicate_or_near_duplicate")
+    number = F.regexp_extract(F.try_element_at(kept, F.lit(1))["message"], r"(\d+)$", 1).try_cast("bigint")
+    codes = {"n_duplicate": "duplicate_or_near_duplicate", "n_over": "source_overrepresented"}
+    return rows.select("doc_id", "quality_status", *_counts(rows, codes), number.alias("kept_key"), F.size("issues").alias("n_issues"), "score_total")
+
+
+_BY_CODE = " UNION ALL ".join(f"SELECT status2, '{code}' AS code, CASE WHEN gone THEN 0 ELSE {n} END AS n FROM gated" for n, code in CODES.items())
+
+
+@query(_GATED + f"""SELECT 'status' AS part, status2 AS name, count(*)::BIGINT AS n FROM gated GROUP BY ALL
+UNION ALL SELECT 'issue', status2 || ':' || code, sum(n)::BIGINT FROM ({_BY_CODE} UNION ALL SELECT status2, 'source_missing', gone::INT FROM gated UNION ALL SELECT status2, 'duplicate_or_near_duplicate', twin::INT FROM gated UNION ALL SELECT status2, 'source_overrepresented', over::INT FROM gated) GROUP BY ALL HAVING sum(n) > 0
+UNION ALL SELECT 'source', source, count(*) FROM gated WHERE status2 = 'filtered' GROUP BY ALL""")
+def agg_19_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gates.manifest(_gated(spark, sf_dir).select("quality_status", "issues", "source"))
+
+
+_LINE_KINDS = "doc_id % 6"
+
+
+@query(f"SELECT doc_id, CASE {_LINE_KINDS} WHEN 0 THEN 'not JSON' WHEN 1 THEN 'not an object' WHEN 2 THEN 'missing: category' WHEN 3 THEN 'unknown value: difficulty' END AS problem, CASE WHEN {_LINE_KINDS} < 4 THEN 'rejected' ELSE 'decided' END AS outcome, CASE WHEN {_LINE_KINDS} < 4 THEN 1 ELSE 0 END AS n_schema, {_LINE_KINDS} < 4 AS unscored FROM documents")
+def val_01_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document as a line that is a candidate or in one of four ways isn't; the gate rejects the latter unscored."""
+    docs = table(spark, sf_dir, "documents")
+    kind = F.col("doc_id") % 6
+    good = F.struct(F.lit("triage_and_hunting").alias("category"), F.when(kind == 3, "expert").otherwise("mid").alias("difficulty"), "text")
+    line = F.when(kind == 0, F.concat(F.lit("{"), "lang")).when(kind == 1, F.lit("[1, 2]")).when(kind == 2, F.to_json(F.struct(F.lit("mid").alias("difficulty"), "text"))).otherwise(F.to_json(good))
+    problem = jsonl.problem(F.col("line"), "category string, difficulty string, text string", ["category", "difficulty", "text"], {"difficulty": ["junior", "mid", "senior"]})
+    none = F.array().cast("array<string>")
+    rows = docs.select("doc_id", line.alias("line"), F.col("source"), F.col("source").alias("doc_source"), F.col("doc_id").alias("source_doc_id"), F.lit("").alias("doc_title"), F.lit("").alias("doc_url"), F.col("text").alias("doc_text"), F.lit("{}").alias("doc_metadata"))
+    rows = rows.withColumns({"schema_problem": problem, "category": F.lit("triage_and_hunting"), "response": F.lit("no block"), "instruction": F.lit(""), "grounding": F.lit("source_only"), **{c: none for c in ("mitre_techniques", "atlas_techniques", "tools_referenced", "taxonomy_refs")}})
+    out = rules.decided(rows, POLICY)
+    bad = F.col("schema_problem").isNotNull()
+    return out.select("doc_id", F.col("schema_problem").alias("problem"), F.when(bad, F.col("quality_status")).otherwise("decided").alias("outcome"), *_counts(out, {"n_schema": "schema_invalid"}), F.col("score_total").isNull().alias("unscored"))
+
+
 # ---------------------------------------------------------------- packaging
 
 _PAIRS = """
@@ -180,9 +276,22 @@ def prj_02_packaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _packaged(spark, sf_dir).select("id", "metadata.source_doc_id", "metadata.reasoning_style", message(1).alias("system"), message(2).alias("instruction"), message(3).alias("content"), F.array_join("metadata.model_transforms", ",").alias("changes"), "metadata.source_pair_key")
 
 
-@query("SELECT ''::VARCHAR AS id, ''::VARCHAR AS problem WHERE false")
+_BROKEN = """
+SELECT printf('record-%06d', nth) AS id, unnest(CASE (conv_id + turn) % 7 WHEN 0 THEN ['roles'] WHEN 1 THEN CASE WHEN style = 'reasoning' THEN ['empty message', 'tags'] ELSE ['empty message'] END WHEN 2 THEN ['no source document']
+  WHEN 3 THEN CASE WHEN style = 'reasoning' THEN ['style', 'tags'] ELSE ['style'] END WHEN 4 THEN ['annotation left'] WHEN 5 THEN ['another model''s tags'] ELSE [] END) AS problem FROM styled
+"""
+
+
+@query(_PAIRS + _BROKEN)
 def val_13_packaged_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packaging.violations(_packaged(spark, sf_dir))
+    """Packaged records, six of seven broken in one way each: what the contract finds wrong."""
+    kind = (F.col("metadata.conv_id") + F.col("metadata.turn")) % 7
+    rows = _packaged(spark, sf_dir).withColumn("kind", kind)
+    content = lambda m, i: F.when((F.col("kind") == 1) & (i == 2), " ").when((F.col("kind") == 4) & (i == 2), F.concat(m["content"], F.lit(" [GENERAL KNOWLEDGE]"))).when((F.col("kind") == 5) & (i == 2), F.concat(m["content"], F.lit("\n<reasoning>"))).otherwise(m["content"])
+    role = lambda m, i: F.when((F.col("kind") == 0) & (i == 1), "assistant").otherwise(m["role"])
+    rows = rows.withColumn("messages", F.transform("messages", lambda m, i: F.struct(role(m, i).alias("role"), content(m, i).alias("content"))))
+    meta = F.col("metadata").withField("source_doc_id", F.when(F.col("kind") == 2, "unknown").otherwise(F.col("metadata.source_doc_id").cast("string"))).withField("reasoning_style", F.when(F.col("kind") == 3, "poem").otherwise(F.col("metadata.reasoning_style")))
+    return packaging.violations(rows.withColumn("metadata", meta))
 
 
 @query(_PAIRS + "SELECT style, count(*) AS n, round(count(*) / (SELECT count(*) FROM styled)::DOUBLE, 4) AS fraction FROM styled GROUP BY style")
@@ -220,9 +329,11 @@ def agg_12_split_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packaging.split_summary(rows.join(assignment.splits(rows, "conv_id").select("conv_id", "split"), "conv_id"))
 
 
-@query(_SPLITS + "SELECT x.split AS a, y.split AS b, count(*) AS n FROM assigned x JOIN assigned y ON x.conv_id = y.conv_id AND x.split < y.split GROUP BY ALL")
+@query("WITH each AS (SELECT DISTINCT conv_id, CASE turn % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'validation' ELSE 'test' END AS split FROM conversations) SELECT x.split AS a, y.split AS b, count(*) AS n FROM each x JOIN each y ON x.conv_id = y.conv_id AND x.split < y.split GROUP BY ALL")
 def set_02_split_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assignment.leakage(assignment.splits(_pairs(spark, sf_dir), "conv_id"), "conv_id")
+    """Turns split without regard to their conversation leak; seq_02_splits never does, as its tests assert."""
+    split = F.when(F.col("turn") % 3 == 0, "train").when(F.col("turn") % 3 == 1, "validation").otherwise("test")
+    return assignment.leakage(table(spark, sf_dir, "conversations").select("conv_id", split.alias("split")), "conv_id")
 
 
 @query()

@@ -111,9 +111,10 @@ def agg_14_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.fingerprint(table(spark, sf_dir, "benchmark"), "item_id", F.concat(C("item_id").cast("string"), F.lit(":"), "text"))
 
 
-@query("SELECT ''::VARCHAR AS case_id, 0::BIGINT AS n WHERE false")
+@query("SELECT 'case-' || item_id % 30 AS case_id, count(*) AS n FROM benchmark GROUP BY ALL HAVING count(*) > 1")
 def val_15_case_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluation.duplicates(table(spark, sf_dir, "benchmark").select(C("item_id").cast("string").alias("case_id")), "case_id")
+    """Cases numbered so that some numbers come twice."""
+    return evaluation.duplicates(table(spark, sf_dir, "benchmark").select(F.concat(F.lit("case-"), (C("item_id") % 30).cast("string")).alias("case_id")), "case_id")
 
 
 @query("SELECT doc_id, CASE WHEN toxic = 1 THEN NULL ELSE quality * 6.0 END AS verdict_score, CASE WHEN toxic = 1 THEN 'no score' WHEN quality = 1 THEN 'score out of range' WHEN doc_id % 2 = 0 THEN 'no reason' END AS problem FROM labels")
@@ -235,9 +236,9 @@ def srt_03_top_by_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- sets
 
-@query("SELECT doc_id FROM documents WHERE doc_id % 3 = 0 UNION SELECT doc_id FROM labels")
+@query("SELECT doc_id FROM documents UNION SELECT doc_id + 5 FROM labels")
 def set_01_union_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).filter("doc_id % 3 = 0").select("doc_id").unionByName(table(spark, sf_dir, "labels").select("doc_id")).distinct()
+    return _docs(spark, sf_dir).select("doc_id").unionByName(table(spark, sf_dir, "labels").select((C("doc_id") + 5).alias("doc_id"))).distinct()
 
 
 @query("SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels WHERE quality = 1")
