@@ -330,7 +330,7 @@ def _every_merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def merge_parts(docs: DataFrame) -> int:
     """Partitions of the merge: with the input's size as the plan knows it, so that a task's share of it stays the same."""
     least = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return least if size >> 60 else max(least, min(size // MERGE_BYTES, MOST_PARTS))
 
 
