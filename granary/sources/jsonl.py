@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from granary.functions import text as X
+from granary.operators.sampling import numbered
 
 RAW_DOCUMENT = "doc_id string, source string, source_url string, title string, date_collected date, date_published timestamp, content_type string, content_markdown string, metadata_json string, word_count bigint"
 
@@ -14,11 +16,16 @@ RAW_DOCUMENT = "doc_id string, source string, source_url string, title string, d
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """(file_path, line_number, value) of every line; the number is that in its file.
 
-    A file is read whole by one task, as numbering its lines needs; many files spread over many tasks.
+    Files are read in splits like any others: a line's number is its place in its split after the lines of the file's
+    splits before, which a first scan counts. Reading them again in the same session gives the same splits.
     """
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
-    each = F.posexplode(F.split(F.regexp_replace("value", r"\n\z", ""), "\n")).alias("n", "value")
-    return files.select("file_path", each).select("file_path", (F.col("n") + 1).cast("bigint").alias("line_number"), F.regexp_replace("value", r"\r$", "").alias("value"))
+    found = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("_gr_at"), "value")
+    found = found.withColumn("_gr_m", F.monotonically_increasing_id())
+    sizes = found.groupBy("file_path", "_gr_at").agg(F.count("*").alias("n"), F.min("_gr_m").alias("_gr_first"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file_path").orderBy("_gr_at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.withColumn("_gr_before", before).drop("n")
+    number = F.col("_gr_before") + F.col("_gr_m") - F.col("_gr_first") + 1
+    return found.join(sizes, ["file_path", "_gr_at"]).select("file_path", number.alias("line_number"), F.regexp_replace("value", r"\r\z", "").alias("value"))
 
 
 def json_lines(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
@@ -32,6 +39,35 @@ def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(RAW_DOCUMENT).option("mode", "FAILFAST").json(f"{folder.rstrip('/')}/*/*.jsonl").withColumn("file_path", F.col("_metadata.file_path"))
 
 
+def numbered_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """raw_documents with the line each stands on; a blank line is an error too when it is read."""
+    found = lines(spark, f"{folder.rstrip('/')}/*/*.jsonl")
+    bad = F.raise_error(F.concat(F.lit("no document at "), "file_path", F.lit(":"), F.col("line_number").cast("string"))).cast("string")
+    row = F.from_json(F.when(F.try_parse_json("value").isNull(), bad).otherwise(F.col("value")), RAW_DOCUMENT)
+    return found.select("file_path", "line_number", row.alias("d")).select("file_path", "line_number", "d.*")
+
+
+def corpus_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(path) of the files that raw_documents reads, in name order."""
+    return spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/*/*.jsonl").select("path").orderBy("path")
+
+
+CASE = "case_id string, task_type string, difficulty string, prompt string, context string"
+
+
+def cases(spark: SparkSession, path: str, schema: str = CASE) -> DataFrame:
+    """Benchmark cases of one file, or of all *.jsonl files of a folder itself, with ``nth``, their place in name order."""
+    path = path if path.endswith(".jsonl") else f"{path.rstrip('/')}/*.jsonl"
+    found = lines(spark, path).filter(F.trim("value") != "")
+    rows = numbered(found, ["file_path", "line_number"], "nth")
+    return rows.select("nth", F.from_json("value", schema).alias("c")).select("nth", "c.*")
+
+
+def template(spark: SparkSession, path: str) -> str:
+    """The text of one prompt template."""
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
 def checked(spark: SparkSession, path: str, schema: str, required: list[str], choices: dict[str, list[str]] | None = None) -> DataFrame:
     """(file_path, line_number, row, problem): each line that isn't blank, parsed, and what is wrong with it (null: nothing)."""
     found = lines(spark, path).filter(F.trim("value") != "")

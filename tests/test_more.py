@@ -74,3 +74,62 @@ def test_checkpointed_scores_resume(spark, tmp_path):
 def test_urls(spark):
     got = spark.range(1).select(text.blob_url("https://host/x/y.git", "main", F.lit("a b/c+d/é.yml"))).first()[0]
     assert got == "https://host/x/y/blob/main/a%20b/c%2Bd/%C3%A9.yml"
+
+
+def test_connectors(tmp_path):
+    from granary.sources import connectors
+
+    called = []
+    folder = str(tmp_path / "a" / "repo")
+    assert connectors.repository("https://host/x.git", folder, run=lambda args, **_: called.append(args))
+    assert called == [["git", "clone", "--depth", "1", "--", "https://host/x.git", folder]]
+    (tmp_path / "a" / "repo").mkdir()
+    assert not connectors.repository("https://host/x.git", folder, run=lambda *_, **__: called.append(1)) and len(called) == 1
+    assert connectors.commit_of(folder) == "unknown"
+    (tmp_path / "feed.json").write_text('{"a": 1}')
+    url, copy = f"file://{tmp_path}/feed.json", str(tmp_path / "b" / "copy.json")
+    assert connectors.download(url, copy) and not connectors.download(url, copy) and open(copy).read() == '{"a": 1}'
+    with pytest.raises(Exception, match="none"):
+        connectors.download(f"file://{tmp_path}/none", str(tmp_path / "b" / "none"))
+    assert [p.name for p in (tmp_path / "b").iterdir()] == ["copy.json"]
+    (tmp_path / ".env").write_text("# note\nA=1\nB = 'two words'\nno sign\nC=x=y\n=empty\nD=old\n")
+    into = {"D": "kept"}
+    assert connectors.environment(str(tmp_path / ".env"), into) == {"A": "1", "B": "two words", "C": "x=y"} and into["D"] == "kept"
+    assert connectors.environment(str(tmp_path / "none"), into) == {}
+
+
+def test_ascii_json(spark, tmp_path):
+    import json
+
+    from granary.sources import jsonl, sinks
+
+    texts = ["plain", "é\n\t\"", "😀 and ß", "", None, "\x00\u2028"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    assert sinks.json_lines(rows, str(tmp_path / "out")) == len(texts)
+    lines = [r.value for r in spark.read.text(str(tmp_path / "out")).collect()]
+    assert all(x.isascii() for x in lines) and sorted((json.loads(x)["k"], json.loads(x)["t"]) for x in lines if "null" not in x) == [(k, t) for k, t in enumerate(texts) if t is not None]
+    assert {r.k: r.t for r in jsonl.json_lines(spark, str(tmp_path / "out"), "k int, t string").collect()} == dict(enumerate(texts))
+
+
+def test_line_numbers_over_splits(spark, tmp_path):
+    """Files are read in splits of some bytes; numbers go through."""
+    from granary.sources import jsonl
+
+    for name, n in (("a", 5000), ("b", 3), ("c", 2000)):
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name} line {k}\r\n" if k % 7 == 0 else f"{name} line {k}\n" for k in range(1, n + 1)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000b")
+    try:
+        got = jsonl.lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(got) == 7003 and all(r.value == f"{r.file_path[-5]} line {r.line_number}" for r in got)
+
+
+def test_numbered_documents_fail_on_bad_lines(spark, tmp_path):
+    from granary.sources import jsonl
+
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s" / "x.jsonl").write_text('{"doc_id": "a"}\n\n{"doc_id": "b"}\n')
+    with pytest.raises(Exception, match="no document at .*:2"):
+        jsonl.numbered_documents(spark, str(tmp_path)).collect()

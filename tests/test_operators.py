@@ -238,7 +238,7 @@ def test_sources_and_sinks(spark, tmp_path):
     (tmp_path / "s.json").write_text(json.dumps({"objects": [{"type": "attack-pattern", "external_references": [{"source_name": "other", "external_id": "x"}, {"source_name": "mitre-attack", "external_id": "T1001"}]}, {"type": "attack-pattern", "revoked": True, "external_references": [{"source_name": "mitre-attack", "external_id": "T1002"}]}]}))
     assert [r.id for r in jsonl.attack_ids(spark, str(tmp_path / "s.json")).collect()] == ["T1001"]
     rows = spark.createDataFrame([(1, "filtered"), (2, "review"), (3, "filtered")], "k int, quality_status string")
-    assert sinks.by_status(rows, str(tmp_path / "out")) == {"filtered": 2, "review": 1}
+    assert sinks.by_status(rows, str(tmp_path / "out"))["status"] == {"filtered": 2, "review": 1}
     assert sinks.report(rows, str(tmp_path / "r.json")) == 3 and len(json.loads((tmp_path / "r.json").read_text())) == 3
     with pytest.raises(ValueError):
         sinks.report(rows, str(tmp_path / "r.json"), most=2)
