@@ -150,7 +150,7 @@ def hijacklibs(found: DataFrame) -> DataFrame:
     return _document(rows, "hijacklibs", "dll_hijack_entry", F.concat(F.lit("hijacklib-"), _slug_path()), F.concat(F.lit("DLL hijacking: "), _text(r["Name"])), body, meta)
 
 
-_DRIVER = "Id string, Tags array<string>, Category string, Created string, MitreID string, CVE string, CVEs string, Resources array<string>, KnownVulnerableSamples array<struct<Filename:string,OriginalFilename:string,InternalName:string,SHA256:string,SHA1:string,MD5:string,Publisher:string,Company:string,Product:string,Description:string>>"
+_DRIVER = "Id string, Tags array<string>, Category string, Created string, MitreID string, CVE string, CVEs string, Resources array<string>, Detection array<struct<type:string,value:string>>, Commands struct<Description:string,Usecase:string,Privileges:string,OperatingSystem:string>, KnownVulnerableSamples array<struct<Filename:string,OriginalFilename:string,InternalName:string,SHA256:string,SHA1:string,MD5:string,Publisher:string,Company:string,Product:string,Description:string,MachineType:string,Imphash:string,LoadsDespiteHVCI:string>>"
 
 
 def loldrivers(found: DataFrame) -> DataFrame:
@@ -163,9 +163,13 @@ def loldrivers(found: DataFrame) -> DataFrame:
     cves = F.array_distinct(F.transform(F.concat(flexible(r["CVE"]), flexible(r["CVEs"])), X.strip))
     hashes = F.array_distinct(F.flatten(F.coalesce(F.transform(r["KnownVulnerableSamples"], lambda s: F.array_compact(F.array(*[F.concat(F.lit(f"{k}:"), nz(s[k])) for k in ("SHA256", "SHA1", "MD5")]))), F.array().cast("array<array<string>>"))))
     title = F.concat(F.lit("LOLDriver: "), F.coalesce(F.try_element_at(r["Tags"], F.lit(1)), r["Id"]))
-    body = lines(F.concat(F.lit("# "), title), "", field("Category", r["Category"]), field("Technique", r["MitreID"]), field("CVEs", F.array_join(cves, ", ")), "", section("Samples", F.coalesce(samples, empty)), section("References", bullets(r["Resources"])))
+    body = lines(F.concat(F.lit("# "), title), "", field("Category", r["Category"]), field("Technique", r["MitreID"]), field("CVEs", F.array_join(cves, ", ")), "", section("Abuse Details", _text(r["Commands"]["Description"])), section("Samples", F.coalesce(samples, empty)), section("Detection", F.coalesce(F.transform(r["Detection"], lambda d: F.concat(F.lit("- **"), _text(d["type"]), F.lit("**: "), _text(d["value"]))), empty)), section("Resources", bullets(r["Resources"])))
+    each = F.transform(r["KnownVulnerableSamples"], lambda s: F.struct(
+        name(s).alias("filename"), s["OriginalFilename"].alias("original_filename"), s["InternalName"].alias("internal_name"), s["Product"].alias("product"), s["Company"].alias("company"), s["MachineType"].alias("machine_type"), s["Imphash"].alias("imphash"),
+        s["LoadsDespiteHVCI"].alias("loads_despite_hvci"), s["Description"].alias("description"), F.struct(s["MD5"].alias("md5"), s["SHA1"].alias("sha1"), s["SHA256"].alias("sha256")).alias("hashes"),
+    ))
     pick = lambda k: F.coalesce(F.transform(r["KnownVulnerableSamples"], lambda s: s[k]), empty)
-    meta = F.struct(r["Id"].alias("driver_id"), F.coalesce(r["Tags"], empty).alias("tags"), cves.alias("cves"), hashes.alias("hashes"), _distinct_sorted(F.concat(pick("Publisher"), pick("Company"))).alias("vendors"), _distinct_sorted(pick("Product")).alias("products"))
+    meta = F.struct(r["Id"].alias("driver_id"), F.coalesce(r["Tags"], empty).alias("tags"), cves.alias("cves"), hashes.alias("hashes"), _distinct_sorted(F.concat(pick("Publisher"), pick("Company"))).alias("vendors"), _distinct_sorted(pick("Product")).alias("products"), r["Commands"]["Usecase"].alias("usecase"), r["Commands"]["Privileges"].alias("privileges"), r["Commands"]["OperatingSystem"].alias("operating_system"), each.alias("samples"), r["Detection"].alias("detections"))
     return _document(rows, "loldrivers", "vulnerable_driver", F.concat(F.lit("loldriver-"), F.lower(r["Id"])), title, body, meta, V.timestamp(r["Created"]))
 
 
@@ -184,7 +188,7 @@ def advisories(files: DataFrame) -> DataFrame:
         return F.concat_ws("\n", F.concat(F.lit("- **CVSS Score**: "), c["baseScore"].cast("string"), F.lit(" ("), _text(c["baseSeverity"]), F.lit(")")), F.concat(F.lit("- **Vector**: `"), c["vectorString"], F.lit("`")))
 
     summary = lambda v: F.try_element_at(F.filter(v["notes"], lambda n: n["category"] == "summary"), F.lit(1))["text"]
-    each = F.transform(F.col("vulnerabilities"), lambda v: F.concat_ws("\n", F.concat(F.lit("### "), F.coalesce(v["cve"], F.lit("Unknown"))), F.concat(F.lit("**Title**: "), v["title"]), F.concat(F.lit("**Summary**: "), summary(v)), F.transform(v["scores"], score), F.transform(v["remediations"], lambda m: F.concat(F.lit("- **"), _text(m["category"]), F.lit("**: "), _text(m["details"]))), F.lit("")))
+    each = F.transform(F.col("vulnerabilities"), lambda v: F.concat_ws("\n", F.concat(F.lit("### "), F.coalesce(v["cve"], F.lit("Unknown"))), F.concat(F.lit("**Title**: "), v["title"]), F.concat(F.lit("**Summary**: "), summary(v)), F.transform(v["scores"], score), F.when(F.size(v["remediations"]) > 0, F.lit("**Remediations**:")), F.transform(v["remediations"], lambda m: F.concat(F.lit("- **"), _text(m["category"]), F.lit("**: "), _text(m["details"]))), F.lit("")))
     t = d["tracking"]
     body = lines(F.concat(F.lit("# "), F.coalesce(d["title"], F.lit("Untitled"))), "", field("Category", d["category"]), field("Publisher", d["publisher"]["name"]), field("Published", t["initial_release_date"]), field("Last updated", t["current_release_date"]), field("Version", t["version"]), "", F.coalesce(notes, empty), section("Vulnerabilities", F.coalesce(each, empty)))
     area = F.when(F.contains("source_path", F.lit("IT")), "IT").otherwise("OT")

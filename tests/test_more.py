@@ -7,8 +7,8 @@ from granary.functions import text
 from granary.operators import compaction, evaluation, runs
 
 
-def compact(spark, source, t, most=24_000):
-    return spark.createDataFrame([(source, t)], "s string, t string").select(compaction.compacted(F.col("s"), F.col("t"), most)).first()[0]
+def compact(spark, source, t, most=24_000, meta="{}"):
+    return spark.createDataFrame([(source, t, meta)], "s string, t string, m string").select(compaction.compacted(F.col("s"), F.col("t"), F.col("m"), most)).first()[0]
 
 
 def test_attack_keeps_the_concrete(spark):
@@ -21,21 +21,100 @@ def test_attack_keeps_the_concrete(spark):
     assert compact(spark, "mitre_attack", "# T2\n\nshort") == "# T2\n\nshort"
 
 
-def test_advisory_orders_by_score(spark):
-    t = "# A\n\n## Vulnerabilities\n" + "\n".join(f"### CVE-{k}\n- **CVSS Score**: {s} (x)" for k, s in enumerate([5.0, 9.8, 7.5] + [1.0] * 12))
-    shown = [x for x in compact(spark, "cisa_advisories", t).split("\n") if x.startswith("### ")]
-    assert shown[:3] == ["### CVE-1", "### CVE-2", "### CVE-0"] and len(shown) == 12
+def test_advisory(spark):
+    vulns = [f"### CVE-{k}\n**Title**: t{k} " + "y" * 300 + f"\n**Other**: no\n- **CVSS Score**: {x} (x)\n- **Vector**: `v`\n**Remediations**:\n- **a**: one\n  - URL: u1\n- **b**: two\n  - URL: u2\n- **c**: three\n  - URL: u3" for k, x in enumerate([5.0, 9.8, 7.5, 9.8] + [1.0] * 12)]
+    advice = "".join(f"## Recommended Practices\npractice {k}\n  more\n" for k in [*range(10), 0, 1])
+    t = "# A\n\n## Summary\ns\n\n## Noise\nn\n" + advice + "## Vulnerabilities\n" + "\n".join(vulns)
+    out = compact(spark, "cisa_advisories", t)
+    shown = [x for x in out.split("\n") if x.startswith("### ")]
+    assert shown[:4] == ["### CVE-1", "### CVE-3", "### CVE-2", "### CVE-0"] and len(shown) == 12 and "12 of 16" in out
+    assert "## Summary\ns" in out and "Noise" not in out and "**Other**" not in out
+    assert out.count("- practice ") == 8 and "- practice 0 more" in out and "[2 more practices left out]" in out
+    assert out.count("- **b**: two") == 12 and "three" not in out and "u2" in out and "u3" not in out and out.count("**Remediations**:") == 12
+    assert all(len(x) <= 260 for x in out.split("\n") if x.startswith("**Title**"))
 
 
-def test_other_rules(spark):
+def test_hijack_rule(spark):
     exes = "\n".join(f"### `p{k}`\n- **Type**: x" + ("\n- **Raises privileges**: yes" if k >= 40 else "") + "\n" + "q" * 50 for k in range(45))
     out = compact(spark, "hijacklibs", "# H\n\n## Vulnerable executables\n" + exes)
     assert all(f"`p{k}`" in out for k in range(40, 45)) and out.count("### ") == 28
-    samples = "\n".join(f"### s{k}\n- **SHA256**: {k}" + ("\n- **Company**: c" if k == 19 else "") + "\n" + "w" * 60 for k in range(20))
-    out = compact(spark, "loldrivers", "# D\n\n## Samples\n" + samples)
-    assert "### s19" in out and out.count("### ") == 14
-    long = "x" * 30_000
-    assert compact(spark, "velociraptor_artifacts", long) == long and len(compact(spark, "other", long, 900)) < 1000
+    assert len(compact(spark, "other", "x" * 30_000, 900)) < 1000
+
+
+def test_driver(spark):
+    import json
+
+    sample = lambda k, **more: {"filename": f"f{k}", "machine_type": "AMD64", "hashes": {"sha256": f"s{k}"}, **more}
+    samples = [sample(0)] * 6 + [sample(k) for k in range(1, 20)] + [sample(30, loads_despite_hvci="TRUE"), sample(31, imphash="i", company="c"), {"filename": "f0", "machine_type": "AMD64", "imphash": "other", "hashes": {"sha256": "s0"}}]
+    meta = json.dumps({"hashes": [f"h{k}" for k in range(40)], "samples": samples, "detections": [{"type": "yara", "value": "rule"}, {"type": "", "value": "x"}]})
+    t = "# D\n\n## Abuse Details\nbad\n\n## Samples\n" + "x" * 9000 + "\n\n## Resources\n" + "\n".join(f"- r{k}" for k in range(12))
+    out = compact(spark, "loldrivers", t, meta=meta)
+    shown = [x[4:] for x in out.split("\n") if x.startswith("### ")]
+    # the best in their order: HVCI, then an import hash, then the first of equal ones, each once
+    assert shown == ["f0", *[f"f{k}" for k in range(1, 11)], "f30", "f31", "f0"] and "14 of 28" in out
+    assert out.count("- `h") == 30 and "[10 more hashes left out]" in out and "## Abuse Details\nbad" in out and "- **yara**: rule" in out and out.count("- r") == 8 and "[4 more resources left out]" in out
+    assert compact(spark, "loldrivers", "# D\n\nshort", meta=meta) == "# D\n\nshort"
+
+
+def test_skill(spark):
+    code = "```python\n" + "\n".join(f"line {k}" for k in range(30)) + "\n```"
+    steps = "\n".join(f"### Step {k}\ndo {k}\n{code}" for k in range(11))
+    t = f"# S\n\n## Description\nd\n\n## Framework Mappings\nmaps\n\n## Overview\nsee\n{code}\n\n## Noise\n{'n' * 3000}\n\n## Workflow\nintro\n{steps}\n\n## Objectives\n```\n{'o' * 2500}"
+    out = compact(spark, "cybersec_skills", t)
+    assert "## Framework Mappings\nmaps" in out and "Noise" not in out and "8 of 11 subsections" in out and "### Step 7" in out and "### Step 8" not in out
+    assert out.count("line 11\n# [18 more lines left out]\n```") == 9 and "line 12" not in out  # the overview's and eight steps'
+    assert sum(x.lstrip().startswith("```") for x in out.split("\n")) % 2 == 0
+    assert compact(spark, "cybersec_skills", "# S\n\n## Overview\nshort") == "# S\n\n## Overview\nshort" and compact(spark, "cybersec_skills", None) is None
+
+
+def test_fences_and_limits():
+    assert compaction.fences_shortened("a\n```\nx\n\ny") == "a\n```\nx\n\ny\n```"
+    assert compaction.fences_shortened("```sh\n" + "z" * 800 + "\n```") == "```sh\n# [1 more lines left out]\n```"
+    assert compaction.limited_whole_lines("```\nabc\nlong line", 9) == "```\nabc\n```\n[truncated]"
+    assert compaction.limited_whole_lines("x" * 30, 10) == "x" * 10 + "\n[truncated]" and compaction.limited_whole_lines("ab", 2) == "ab"
+
+
+def test_artifact(spark):
+    rows = "\n".join(f"    a{k},b{k}" for k in range(80))
+    yaml_ = f"""name: Win.X
+description: {"d" * 2000}
+type: CLIENT
+reference: [r1, r2]
+parameters:
+- name: P
+  type: csv
+  default: |
+{rows}
+- name: Q
+  default: {"q" * 300}
+  choices: [a, b]
+- name: V
+  default: SELECT 1 FROM x
+sources:
+- name: Main
+  precondition: SELECT 2
+  query: |
+    SELECT {"x" * 5000} FROM y
+- queries: [LET a = 1, SELECT 3]
+reports:
+- name: R
+  template: t
+"""
+    t = f"# V\n\n```yaml\n{yaml_}\n```\n" + "tail " * 10
+    out = compact(spark, "velociraptor_artifacts", t, 900, '{"os_platform": "Windows"}')
+    assert "# Velociraptor artifact: Win.X" in out and "**Platform**: Windows" in out and "**Type**: CLIENT" in out
+    assert "x" * 5000 in out and "SELECT 2" in out and "LET a = 1" in out and "SELECT 3" in out  # queries are never cut, nor is their middle
+    assert "d" * 1801 not in out and "## Default of P\n```csv\n" in out and "a79,b79" in out and "default=" + "q" * 220 + " [truncated]" in out and "choices=a, b" in out and "## Default of V\n```vql" in out
+    assert "- r1\n- r2" in out and "- **R**: t" in out
+    for same in ("no yaml here " * 3000, "```yaml\n: [\n```", "```yaml\n- a\n```"):
+        assert compact(spark, "velociraptor_artifacts", same, 900) == same
+
+
+def test_default_languages():
+    of = compaction.default_language
+    long = "x" * 300
+    assert of("short, with\ncommas, in") is None and of("let x = 1") == "vql" and of("rule a {\n" + long) == "yara" and of('{"a": "' + long + '"}') == "json"
+    assert of(f"a,b\nc,d\n{long}") == "csv" and of(f"- a\n- b\n{long}") == "yaml" and of(f"C*.x\nD*.y\n{long}") == "text" and of(long) is None
 
 
 def test_policies():
