@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.plans import base, files, gate, relational, scalars  # noqa: F401  (they register their queries)
+from granary.plans import base, compact, files, gate, relational, scalars  # noqa: F401  (they register their queries)
 
 FLAGSHIP = "agg_01_status_counts"
 
