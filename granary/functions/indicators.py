@@ -25,15 +25,20 @@ def _all(c: Column, pattern: str) -> Column:
     return F.regexp_extract_all(c, F.lit(pattern), F.lit(1))
 
 
+def _some(c: Column, pattern: str, sign: str) -> Column:
+    """As _all, for texts that hold the sign that every match has; others aren't searched."""
+    return F.when(F.contains(c, F.lit(sign)), _all(c, pattern)).otherwise(F.array().cast("array<string>"))
+
+
 def normalised(c: Column) -> Column:
     return F.lower(F.regexp_replace(X.trimmed_edges(c), r"[\\/]+$", ""))
 
 
 def indicators(c: Column, paths: bool = True, events: bool = True) -> Column:
     """Distinct indicators of a text, sorted."""
-    parts = [F.transform(_all(c, CVE), F.upper), F.transform(_all(c, HASH), F.lower), _all(c, IPV4), F.transform(_all(c, DOMAIN), F.lower)]
+    parts = [F.transform(_some(c, CVE, "-"), F.upper), F.transform(_all(c, HASH), F.lower), _some(c, IPV4, "."), F.transform(_some(c, DOMAIN, "."), F.lower)]
     if paths:
-        parts += [F.transform(_all(c, p), normalised) for p in (DRIVE, REGISTRY, UNIX)]
+        parts += [F.transform(_some(c, p, sign), normalised) for p, sign in ((DRIVE, ":\\"), (REGISTRY, "\\"), (UNIX, "/"))]
     if events:
         parts.append(F.transform(_all(c, EVENT), lambda x: F.concat(F.lit("event_id:"), x)))
     return F.array_sort(F.array_distinct(F.filter(F.concat(*parts), lambda x: x != "")))

@@ -27,8 +27,17 @@ def word_count(c: Column) -> Column:
     return F.regexp_count(c, F.lit(WORD))
 
 
+#: White space that strips off: ASCII's, the separators, next line, no-break space, line and paragraph separators.
+BLANKS = " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u2028\u2029"
+
+
+def let(value: Column, f) -> Column:
+    """f of a value that is evaluated once, however often f refers to it."""
+    return F.element_at(F.transform(F.array(value), lambda x: f(x)), 1)
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^[\s\x1c-\x1f\x85   ]+|[\s\x1c-\x1f\x85   ]+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def single_line(c: Column) -> Column:

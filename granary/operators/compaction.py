@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import text as X
 from granary.functions import values as V
+from granary.functions.text import let
 
 NOTE = "_Shortened from its source document._"
 
@@ -43,7 +44,7 @@ def _bullet_lines(c: Column) -> Column:
 
 
 def _shorter(made: Column, original: Column) -> Column:
-    return F.when(F.length(made) < F.length(original), made).otherwise(original)
+    return let(made, lambda m: F.when(F.length(m) < F.length(original), m).otherwise(original))
 
 
 CONCRETE = r"(?i)`[^`]+`|\\|\.(?:exe|dll|ps1|bat|sh|py)\b|CVE-\d{4}|\b\d{1,3}(?:\.\d{1,3}){3}\b"
@@ -52,13 +53,15 @@ ACTIONS = r"(?i)\b(?:created|deleted|disabled|downloaded|dumped|executed|injecte
 
 def attack(c: Column, procedures: int = 18, mitigations: int = 8, detections: int = 5, each: int = 420) -> Column:
     """A technique with its most concrete procedures: an indicator counts 4, an action verb and over 220 characters 1 each."""
-    s = headed(c)
     score = lambda x: F.when(F.regexp_like(x, F.lit(CONCRETE)), 4).otherwise(0) + F.when(F.regexp_like(x, F.lit(ACTIONS)), 1).otherwise(0) + F.when(F.length(x) > 220, 1).otherwise(0)
-    chosen = F.transform(best(_bullet_lines(body(s, "Procedures")), score, procedures), lambda x: X.limited(x, each))
-    listed = lambda name, k: F.transform(F.slice(_bullet_lines(body(s, name)), 1, k), lambda x: X.limited(x, each))
-    part = lambda name, a: F.when(F.size(a) > 0, F.concat(F.lit(f"## {name}\n"), F.array_join(a, "\n")))
-    made = F.concat_ws("\n\n", F.element_at(s, 1)["body"], F.concat(F.lit("## Description\n"), X.limited(body(s, "Description"), 2400)), part("Procedures", chosen), part("Mitigations", listed("Mitigations", mitigations)), part("Detections", listed("Detections", detections)), F.lit(NOTE))
-    return _shorter(made, c)
+    part = lambda name, items: let(items, lambda a: F.when(F.size(a) > 0, F.concat(F.lit(f"## {name}\n"), F.array_join(F.transform(a, lambda x: X.limited(x, each)), "\n"))))
+
+    def made(s: Column) -> Column:
+        first = lambda name, k: F.slice(_bullet_lines(body(s, name)), 1, k)
+        chosen = best(_bullet_lines(body(s, "Procedures")), score, procedures)
+        return F.concat_ws("\n\n", F.element_at(s, 1)["body"], F.concat(F.lit("## Description\n"), X.limited(body(s, "Description"), 2400)), part("Procedures", chosen), part("Mitigations", first("Mitigations", mitigations)), part("Detections", first("Detections", detections)), F.lit(NOTE))
+
+    return _shorter(let(headed(c), made), c)
 
 
 def _label(block: Column, name: str) -> Column:
@@ -75,9 +78,8 @@ def kev(c: Column, entries: int = 20, each: int = 760) -> Column:
         rank = F.when(F.lower(_label(b, "(?:Linked to )?Ransomware")) == "yes", 10_000).otherwise(0) + F.coalesce(V.ordinal(added), F.lit(0))
         return F.struct(rank.alias("r"), F.coalesce(V.ordinal(due), F.lit(0)).alias("d"))
 
-    chosen = F.transform(best(blocks, score, entries), lambda b: X.limited(b, each))
-    made = F.concat_ws("\n\n", F.element_at(s, 1)["body"], F.format_string("## Selected vulnerabilities\n%d of %d entries", F.size(chosen), F.size(blocks)), F.array_join(chosen, "\n\n"), F.lit(NOTE))
-    return _shorter(made, c)
+    part = let(blocks, lambda all_: let(best(all_, score, entries), lambda chosen: F.concat(F.format_string("## Selected vulnerabilities\n%d of %d entries\n\n", F.size(chosen), F.size(all_)), F.array_join(F.transform(chosen, lambda b: X.limited(b, each)), "\n\n"))))
+    return _shorter(F.concat_ws("\n\n", F.element_at(s, 1)["body"], part, F.lit(NOTE)), c)
 
 
 def _blocks(c: Column, heading: str) -> Column:
@@ -86,15 +88,10 @@ def _blocks(c: Column, heading: str) -> Column:
     return F.transform(found, lambda b: F.concat(F.lit("### "), b["heading"], F.lit("\n"), b["body"]))
 
 
-def _selected(c: Column, heading: str, score, k: int, each: int, keep_order: bool = True) -> Column:
-    blocks = _blocks(c, heading)
-    if keep_order:
-        chosen = best(blocks, score, k)
-    else:
-        scored = F.transform(blocks, lambda x, i: F.struct(score(x).alias("s"), (-i).alias("i"), x.alias("x")))
-        chosen = F.transform(F.slice(F.reverse(F.array_sort(scored)), 1, k), lambda t: t["x"])
-    part = F.concat(F.format_string(f"## {heading}\n%d of %d\n\n", F.size(chosen), F.size(blocks)), F.array_join(F.transform(chosen, lambda b: X.limited(b, each)), "\n\n"))
-    return F.when(F.size(blocks) > 0, part)
+def _selected(c: Column, heading: str, score, k: int, each: int) -> Column:
+    """A section with the k blocks that score most, in their order; null without blocks."""
+    shown = lambda all_, chosen: F.concat(F.format_string(f"## {heading}\n%d of %d\n\n", F.size(chosen), F.size(all_)), F.array_join(F.transform(chosen, lambda b: X.limited(b, each)), "\n\n"))
+    return let(_blocks(c, heading), lambda all_: F.when(F.size(all_) > 0, let(best(all_, score, k), lambda chosen: shown(all_, chosen))))
 
 
 ADVISORY_SECTIONS = ["Summary", "General Recommendations", "Critical infrastructure sectors", "Countries/areas deployed", "Company headquarters location"]
@@ -107,9 +104,12 @@ def _more(n: Column, k: int, what: str) -> Column:
 
 def _vulnerability(block: Column, remediations: int = 2, each: int = 1200) -> Column:
     """A vulnerability's lines of substance, each limited, with its first remediations and their addresses."""
+    return let(X.lines(block), lambda lines_: _of_lines(lines_, remediations, each))
+
+
+def _of_lines(lines_: Column, remediations: int, each: int) -> Column:
     limits = {"**Title**:": 240, "**Summary**:": 480, "- **CWE**:": 240}
     at = F.lit(0)
-    lines_ = X.lines(block)
     heading = F.array_position(lines_, F.lit("**Remediations**:")).cast("int")
     plain = F.when(heading > 0, F.slice(lines_, F.lit(1), heading - 1)).otherwise(lines_)
     keeps = lambda x: F.startswith(x, F.lit("### ")) | F.startswith(x, F.lit("- **CVSS Score**:")) | F.startswith(x, F.lit("- **Vector**:"))
@@ -135,17 +135,24 @@ def _vulnerability(block: Column, remediations: int = 2, each: int = 1200) -> Co
 
 def advisory(c: Column, vulnerabilities: int = 12, practices: int = 8) -> Column:
     """An advisory's sections of substance, its distinct recommended practices, and its vulnerabilities of highest score in the order of their scores; always shortened."""
-    s = headed(c)
-    kept = F.transform(F.filter(s, lambda x: x["heading"].isin(ADVISORY_SECTIONS) & (x["body"] != "")), lambda x: F.concat(F.lit("## "), x["heading"], F.lit("\n"), X.limited(x["body"], 2400)))
-    said = F.array_distinct(F.filter(F.transform(F.filter(s, lambda x: x["heading"] == "Recommended Practices"), lambda x: X.single_line(x["body"])), lambda x: x != ""))
-    listed = F.concat_ws("\n", F.transform(F.slice(said, 1, practices), lambda x: F.concat(F.lit("- "), x)), _more(F.size(said), practices, "practices"))
-    advice = F.when(F.size(said) > 0, F.concat(F.lit("## Recommended Practices\n"), listed))
     score = lambda b: F.coalesce(F.regexp_extract(b, r"\*\*CVSS Score\*\*:\s*([0-9.]+)", 1).try_cast("double"), F.lit(0.0))
-    blocks = _blocks(c, "Vulnerabilities")
-    ranked = F.transform(blocks, lambda x, i: F.struct((-score(x)).alias("s"), i.alias("i"), x.alias("x")))
-    top = F.transform(F.slice(F.array_sort(ranked), 1, vulnerabilities), lambda t: _vulnerability(t["x"]))
-    found = F.when(F.size(blocks) > 0, F.concat(F.format_string("## Vulnerabilities\n%d of %d, by score\n\n", F.size(top), F.size(blocks)), F.array_join(top, "\n\n")))
-    return F.concat_ws("\n\n", F.element_at(s, 1)["body"], kept, advice, found, F.lit(NOTE))
+
+    def advice(said: Column) -> Column:
+        listed = F.concat_ws("\n", F.transform(F.slice(said, 1, practices), lambda x: F.concat(F.lit("- "), x)), _more(F.size(said), practices, "practices"))
+        return F.when(F.size(said) > 0, F.concat(F.lit("## Recommended Practices\n"), listed))
+
+    def found(blocks: Column) -> Column:
+        ranked = F.transform(blocks, lambda x, i: F.struct((-score(x)).alias("s"), i.alias("i"), x.alias("x")))
+        top = F.slice(F.array_sort(ranked), 1, vulnerabilities)
+        shown = lambda t: F.concat(F.format_string("## Vulnerabilities\n%d of %d, by score\n\n", F.size(t), F.size(blocks)), F.array_join(F.transform(t, lambda v: _vulnerability(v["x"])), "\n\n"))
+        return F.when(F.size(blocks) > 0, let(top, shown))
+
+    def made(s: Column) -> Column:
+        kept = F.transform(F.filter(s, lambda x: x["heading"].isin(ADVISORY_SECTIONS) & (x["body"] != "")), lambda x: F.concat(F.lit("## "), x["heading"], F.lit("\n"), X.limited(x["body"], 2400)))
+        said = F.array_distinct(F.filter(F.transform(F.filter(s, lambda x: x["heading"] == "Recommended Practices"), lambda x: X.single_line(x["body"])), lambda x: x != ""))
+        return F.concat_ws("\n\n", F.element_at(s, 1)["body"], kept, let(said, advice), let(_blocks(c, "Vulnerabilities"), found), F.lit(NOTE))
+
+    return let(headed(c), made)
 
 
 def hijack(c: Column, executables: int = 28, each: int = 420) -> Column:
@@ -165,13 +172,15 @@ def driver(c: Column, metadata: Column, samples: int = 14, hashes: int = 30, res
 
     Samples that agree in file name, machine type, import hash and SHA-256 count once, the first of them.
     """
-    s, m = headed(c), F.from_json(metadata, _DRIVER)
+    return _shorter(let(F.struct(headed(c).alias("s"), F.from_json(metadata, _DRIVER).alias("m")), lambda v: _driver(v["s"], v["m"], samples, hashes, resources, each)), c)
+
+
+def _driver(s: Column, m: Column, samples: int, hashes: int, resources: int, each: int) -> Column:
     text = lambda x: F.coalesce(x, F.lit(""))
     has = lambda x, n: F.when(text(x) != "", n).otherwise(0)
     key = lambda x: F.struct(*[text(x[k]).alias(k) for k in ("filename", "machine_type", "imphash")], text(x["hashes"]["sha256"]).alias("sha"))
     found = F.coalesce(m["samples"], F.from_json(F.lit("[]"), f"array<struct<{_SAMPLE}>>"))
-    keys = F.transform(found, key)
-    distinct = F.filter(found, lambda x, i: F.array_position(keys, key(x)) == i + 1)
+    distinct = let(F.transform(found, key), lambda keys: F.filter(found, lambda x, i: F.array_position(keys, key(x)) == i + 1))
 
     def score(x: Column) -> Column:
         names = sum((has(x[k], 1) for k in ("original_filename", "internal_name", "product", "company", "machine_type")), F.lit(0))
@@ -182,16 +191,14 @@ def driver(c: Column, metadata: Column, samples: int = 14, hashes: int = 30, res
         facts += [F.when(text(x["hashes"][k]) != "", F.concat(F.lit(f"- **{k.upper()}**: `"), x["hashes"][k], F.lit("`"))) for k in ("md5", "sha1", "sha256")]
         return X.limited(F.concat_ws("\n", F.concat(F.lit("### "), F.coalesce(F.nullif(x["filename"], F.lit("")), F.lit("Unknown sample"))), *facts), each)
 
-    chosen = F.transform(best(distinct, score, samples), block)
     all_ = F.coalesce(m["hashes"], F.array().cast("array<string>"))
     part = lambda name, lines_: F.when(F.length(lines_) > 0, F.concat(F.lit(f"## {name}\n"), lines_))
     digests = F.concat_ws("\n", F.transform(F.slice(all_, 1, hashes), lambda x: F.concat(F.lit("- `"), x, F.lit("`"))), _more(F.size(all_), hashes, "hashes"))
     seen = F.concat_ws("\n", F.transform(F.filter(F.coalesce(m["detections"], F.from_json(F.lit("[]"), "array<struct<type:string,value:string>>")), lambda d: (text(d["type"]) != "") & (text(d["value"]) != "")), lambda d: F.concat(F.lit("- **"), d["type"], F.lit("**: "), d["value"])))
     links = _bullet_lines(F.concat_ws("\n", body(s, "Resources"), body(s, "References")))
     listed = F.concat_ws("\n", F.slice(links, 1, resources), _more(F.size(links), resources, "resources"))
-    heads = F.when(F.size(chosen) > 0, F.concat(F.format_string("## Samples\n%d of %d\n\n", F.size(chosen), F.size(found)), F.array_join(chosen, "\n\n")))
-    made = F.concat_ws("\n\n", F.element_at(s, 1)["body"], part("Abuse Details", body(s, "Abuse Details")), part("Hashes", digests), heads, part("Detection", seen), part("Resources", listed), F.lit(NOTE))
-    return _shorter(made, c)
+    heads = let(best(distinct, score, samples), lambda chosen: F.when(F.size(chosen) > 0, F.concat(F.format_string("## Samples\n%d of %d\n\n", F.size(chosen), F.size(found)), F.array_join(F.transform(chosen, block), "\n\n"))))
+    return F.concat_ws("\n\n", F.element_at(s, 1)["body"], part("Abuse Details", body(s, "Abuse Details")), part("Hashes", digests), heads, part("Detection", seen), part("Resources", listed), F.lit(NOTE))
 
 
 SKILL_SECTIONS = ["Overview", "When to Use", "Prerequisites", "Objectives", "MITRE ATT&CK Mapping", "Detection Logic", "Detection Rules", "Evidence Sources", "Validation", "Expected Results", "Key Concepts", "Tools & Systems", "Common Pitfalls", "Remediation"]

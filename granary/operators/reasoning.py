@@ -86,7 +86,7 @@ def issues(response: Column, least: int | None = 4, most: int | None = 24, stric
     n = F.size(e) + F.size(a) + F.size(c) + F.size(cv)
     found: list[Column] = []
     if strict:
-        first = F.element_at(F.filter(F.transform(X.lines(response), X.strip), lambda x: x != ""), 1)
+        first = X.strip(F.regexp_extract(X.strip(response), f"(?s)\\A(.*?)(?:{X.BREAK}|\\z)", 1))
         found.append(when(first != "<reasoning>", _wrong("the opening tag isn't the first line")))
         own = F.regexp_like(response, F.lit(r"(?md)^\s*<reasoning>\s*$")) & F.regexp_like(response, F.lit(r"(?md)^\s*</reasoning>\s*$"))
         found.append(when(~own, _wrong("a tag isn't on a line of its own")))

@@ -80,9 +80,11 @@ def output_text(instruction: Column, response: Column, *lists: Column) -> Column
 
 
 def invented(output: Column, corpus: Column, kind: Column) -> Column:
-    new = I.invented(output, corpus)
-    message = F.concat(F.lit("not in the source: "), F.array_join(new, ", "))
-    return F.when(F.size(new) == 0, F.array().cast(R.ISSUE)).when(kind == "source_plus_general", F.array(R.issue("invented_indicator", "review", message))).otherwise(F.array(R.issue("invented_indicator", "reject", message)))
+    def found(new: Column) -> Column:
+        message = F.concat(F.lit("not in the source: "), F.array_join(new, ", "))
+        return F.when(F.size(new) == 0, F.array().cast(R.ISSUE)).when(kind == "source_plus_general", F.array(R.issue("invented_indicator", "review", message))).otherwise(F.array(R.issue("invented_indicator", "reject", message)))
+
+    return X.let(I.invented(output, corpus), found)
 
 
 def status(issues: Column) -> Column:
@@ -90,10 +92,13 @@ def status(issues: Column) -> Column:
 
 
 def _steps(n: Column, gains: list[tuple[int, float]]) -> Column:
-    out = F.lit(0.0)
-    for least, gain in gains:
-        out = out + F.when(n >= least, gain).otherwise(0.0)
-    return out
+    def sum_(n: Column) -> Column:
+        out = F.lit(0.0)
+        for least, gain in gains:
+            out = out + F.when(n >= least, gain).otherwise(0.0)
+        return out
+
+    return X.let(n, sum_)
 
 
 def relevance(answer: Column, category: Column, signals: dict[str, list[str]], verbs: list[str] = VERBS, penalties: list[str] = PENALTIES) -> Column:
@@ -103,20 +108,19 @@ def relevance(answer: Column, category: Column, signals: dict[str, list[str]], v
         hits = F.when(category == name, X.matching_terms(low, terms)).otherwise(hits)
     score = F.lit(2.0) + _steps(hits, [(1, 1.0), (2, 0.75), (4, 0.5)]) + _steps(X.matching_terms(low, verbs), [(1, 0.5), (3, 0.25)])
     score = score - F.least(X.matching_terms(low, penalties), F.lit(3)) * 0.4
-    return F.when(answer == "", 1.0).otherwise(clamped(score))
+    return F.when(answer == "", 1.0).otherwise(X.let(score, clamped))
 
 
 def specificity(answer: Column, corpus: Column) -> Column:
     shared = F.size(F.array_intersect(X.distinctive_tokens(corpus), X.distinctive_tokens(answer)))
-    base = F.when(shared >= 6, 4.5).when(shared >= 3, 4.0).when(shared >= 1, 3.0).otherwise(2.0)
-    return F.when(answer == "", 1.0).otherwise(clamped(base + _steps(F.size(I.indicators(answer)), [(1, 0.5), (3, 0.25)])))
+    base = X.let(shared, lambda n: F.when(n >= 6, 4.5).when(n >= 3, 4.0).when(n >= 1, 3.0).otherwise(2.0))
+    return F.when(answer == "", 1.0).otherwise(X.let(base + _steps(F.size(I.indicators(answer)), [(1, 0.5), (3, 0.25)]), clamped))
 
 
 def completeness(response: Column, answer: Column) -> Column:
-    n = X.word_count(response)
     lost = F.when(X.word_count(answer) < 25, 1.5).otherwise(0.0) + F.when(F.size(X.caveats(response)) == 0, 1.0).otherwise(0.0)
-    lost = lost + F.when(n > 1200, 1.25).when(n > 900, 0.75).when(n > 600, 0.25).otherwise(0.0)
-    return clamped(F.lit(5.0) - lost)
+    lost = lost + X.let(X.word_count(response), lambda n: F.when(n > 1200, 1.25).when(n > 900, 0.75).when(n > 600, 0.25).otherwise(0.0))
+    return X.let(F.lit(5.0) - lost, clamped)
 
 
 def _rejected_for(issues: Column, code: str) -> Column:
