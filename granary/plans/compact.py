@@ -9,7 +9,7 @@ from granary.operators import compaction
 from granary.plans.base import query, table
 
 C = F.col
-LONG = F.lit("d" * 3000)
+LONG = "d" * 3000
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ _CONCRETE, _VERB, _WIDE = "(doc_id + i * 7) % 3 = 0", "(doc_id + i) % 4 = 0", "i
 def cmp_01_attack(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = C("doc_id")
     line = lambda i: F.concat(F.lit("- #"), _text(i), F.lit(" "), F.when((d + i * 7) % 3 == 0, "ran `cmd` ").otherwise(""), F.when((d + i) % 4 == 0, "executed ").otherwise(""), F.when(i % 5 == 0, F.lit("z" * 230)).otherwise(""))
-    doc = F.concat(F.lit("# T\n\n## Description\n"), LONG, F.lit("\n\n## Procedures\n"), _items(10 + d % 30, line), F.lit("\n\n## Mitigations\n"), _items(d % 12, lambda i: F.concat(F.lit("- m"), _text(i))))
+    doc = F.concat(F.lit("# T\n\n## Description\n"), F.lit(LONG), F.lit("\n\n## Procedures\n"), _items(10 + d % 30, line), F.lit("\n\n## Mitigations\n"), _items(d % 12, lambda i: F.concat(F.lit("- m"), _text(i))))
     made = compaction.attack(doc)
     return _docs(spark, sf_dir).select("doc_id", _shown(made, r"(?m)^- #([0-9]+)").alias("shown"), F.regexp_count(made, F.lit("(?m)^- m[0-9]+")).cast("bigint").alias("mitigations"))
 
@@ -66,7 +66,7 @@ def cmp_03_kev(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = C("doc_id")
     day = lambda x: F.lpad((x % 28 + 1).cast("string"), 2, "0")
     block = lambda i: F.concat(F.lit("### CVE-"), _text(i), F.lit("\n- **Date Added**: 2022-01-"), day(d + i * 5), F.lit("\n- **Due Date**: 2022-03-"), day(d + i * 3), F.lit("\n- **Ransomware use**: "), F.when((d + i) % 11 == 0, "Yes").otherwise("No"))
-    doc = F.concat(F.lit("# Vendor\n\n## Summary\n"), LONG, F.lit("\n\n## Details\n"), _items(d % 45, block))
+    doc = F.concat(F.lit("# Vendor\n\n## Summary\n"), F.lit(LONG), F.lit("\n\n## Details\n"), _items(d % 45, block))
     return _docs(spark, sf_dir).select("doc_id", _shown(compaction.kev(doc), "(?m)^### CVE-([0-9]+)").alias("shown"))
 
 
@@ -77,7 +77,7 @@ _FLAGS = {"Raises privileges": (4, 5), "Auto-elevates": (3, 7), "Condition": (1,
 def cmp_04_hijack(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = C("doc_id")
     block = lambda i: F.concat(F.lit("### `p"), _text(i), F.lit("`"), *[F.when((d + i) % m == 0, f"\n- **{name}**: yes").otherwise("") for name, (_, m) in _FLAGS.items()])
-    doc = F.concat(F.lit("# H\n\n## Expected locations\n"), LONG, F.lit("\n\n## Vulnerable executables\n"), _items(d % 50, block))
+    doc = F.concat(F.lit("# H\n\n## Expected locations\n"), F.lit(LONG), F.lit("\n\n## Vulnerable executables\n"), _items(d % 50, block))
     return _docs(spark, sf_dir).select("doc_id", _shown(compaction.hijack(doc), "(?m)^### `p([0-9]+)`").alias("shown"))
 
 
@@ -99,7 +99,7 @@ def cmp_05_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT doc_id, least(8, doc_id % 14) AS steps, least(12, doc_id % 25) AS code_lines, greatest(0, doc_id % 25 - 12) AS lost FROM documents")
 def cmp_06_skill(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = C("doc_id")
-    doc = F.concat(F.lit("# S\n\n## Overview\nsee\n```sh\n"), _items(d % 25, lambda i: F.concat(F.lit("code "), _text(i))), F.lit("\n```\n\n## Other\n"), LONG, F.lit("\n\n## Workflow\n"), _items(d % 14, lambda i: F.concat(F.lit("### Step "), _text(i), F.lit("\ndo it"))))
+    doc = F.concat(F.lit("# S\n\n## Overview\nsee\n```sh\n"), _items(d % 25, lambda i: F.concat(F.lit("code "), _text(i))), F.lit("\n```\n\n## Other\n"), F.lit(LONG), F.lit("\n\n## Workflow\n"), _items(d % 14, lambda i: F.concat(F.lit("### Step "), _text(i), F.lit("\ndo it"))))
     made = compaction.skill(doc)
     return _docs(spark, sf_dir).withColumn("made", made).select("doc_id", F.regexp_count("made", F.lit("(?m)^### Step")).cast("bigint").alias("steps"), F.regexp_count("made", F.lit("(?m)^code [0-9]")).cast("bigint").alias("code_lines"), F.coalesce(F.regexp_extract("made", r"\[([0-9]+) more lines", 1).try_cast("bigint"), F.lit(0)).alias("lost"))
 

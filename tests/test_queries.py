@@ -1,5 +1,9 @@
 """Every registered query that has SQL, compared with DuckDB on the smallest tables; the others are run."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as entry
@@ -18,6 +22,11 @@ def test_runs(spark, sf, name):
     assert entry.queries()[name](spark, sf).count() >= 0
 
 
+def test_imports_without_a_session():
+    root = os.path.dirname(entry.__file__)
+    subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"], cwd=root, check=True)
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert set(df.columns) == {"source", "quality_status", "n", "mean_score"} and df.count() > 0
