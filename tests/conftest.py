@@ -36,8 +36,12 @@ def duck(sf):
     def run(sql, **tables):
         for name, frame in tables.items():
             con.register(name, frame)
-        rel = con.sql(sql)
-        return rel.columns, rel.fetchall()
+        try:
+            rel = con.sql(sql)
+            return rel.columns, rel.fetchall()
+        finally:
+            for name in tables:
+                con.unregister(name)
 
     return run
 
