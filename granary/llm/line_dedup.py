@@ -105,7 +105,9 @@ def removed_units(docs: DataFrame) -> DataFrame:
     by_start = Window.partitionBy("doc_id").orderBy("start")
     fixed = F.col("line") | stays
     before = F.max(F.when(fixed, F.col("end"))).over(by_start.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    behind = F.min(F.when(fixed, F.col("start"))).over(by_start.rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    # from the far end on, so that both extremes run along: a frame up to the last row is read anew for each row
+    from_end = Window.partitionBy("doc_id").orderBy(F.col("start").desc())
+    behind = F.min(F.when(fixed, F.col("start"))).over(from_end.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     free = (F.coalesce(before, F.lit(-1)) <= F.col("start")) & (F.coalesce(behind, F.col("end")) >= F.col("end"))
     out = repeated_units(docs).withColumn("free", free).filter(~stays & (F.col("line") | F.col("free")))
     return out.select("doc_id", "start", "end", "line", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.start").alias("kept_start"), F.col("kept.end").alias("kept_end"))
