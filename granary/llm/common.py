@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import ctypes
 import hashlib
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.lineage import cut, made, shared_folder  # noqa: F401  (the operators take them from here)
+from granary.lineage import cut, made, shared_folder, written  # noqa: F401  (the operators take them from here)
 
 U64 = np.uint64
 #: Bytes of text that one vectorised step handles; a longer document is a step of its own.
@@ -28,14 +27,6 @@ BROADCAST_BYTES = 32 << 20
 LONG_SPAN = 64
 
 
-def written(df: DataFrame) -> DataFrame:
-    """As cut(), as a Parquet table: columns can be pruned by later readers."""
-    spark = df.sparkSession
-    path = made(f"{shared_folder(spark).rstrip('/')}/granary-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """df with a broadcast hint if its counted rows stay under limit bytes, else unhinted. Give it a cut() frame."""
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
