@@ -35,3 +35,18 @@ def test_rows_dropped_by_class_are_those_of_the_greedy_loop(spark):
         else:
             kept.append((key, t))
     assert {r.key: r.kept_key for r in neardup.dropped_rows(rows_of(spark, rows), least_tokens=8).collect()} == want
+
+
+def test_class_pairs_lose_no_link_between_texts(spark):
+    rows = random_rows()
+    got = {(r.a, r.b) for r in neardup.class_pairs(rows_of(spark, rows), least_tokens=8).collect()}
+    sets = {k: frozenset(t) for k, _, t in rows}
+    by_rank = sorted(rows, key=lambda r: r[1])
+    want = {frozenset((sets[a], sets[b])) for i, (a, _, x) in enumerate(by_rank) for b, _, y in by_rank[i + 1 :] if len(y) >= 8 and close(x, y)}
+    assert {frozenset((sets[a], sets[b])) for a, b in got} == want
+    assert len(got) == len({(a, b) for a, b in got if sets[a] != sets[b]}) + sum(len(t) >= 8 for t in sets.values()) - len({t for t in sets.values() if len(t) >= 8})
+
+
+def test_copies_have_a_row_each_in_place_of_all_their_pairs(spark):
+    rows = rows_of(spark, [(k, k, range(20)) for k in range(300)])
+    assert sorted((r.a, r.b, r.jaccard) for r in neardup.class_pairs(rows, least_tokens=8).collect()) == [(0, k, 1.0) for k in range(1, 300)]
