@@ -49,6 +49,13 @@ def _text(spark: SparkSession, rows: DataFrame, value: Column, ending: str, orde
     return _named(spark, folder, ending)
 
 
+def _parts(spark: SparkSession, rows: DataFrame, value: Column, ending: str, order: list[str]) -> str:
+    """Rows in this order as text files that follow one another by name, a range of rows each."""
+    folder = _folder(spark)
+    rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order).select(value.alias("value")).write.text(folder)
+    return _named(spark, folder, ending)
+
+
 def _corpus(spark: SparkSession, sf_dir: str) -> str:
     """documents as a corpus of raw documents, a folder and a file for each source, in order of doc_id."""
     folder = _folder(spark)
@@ -117,8 +124,8 @@ def src_07_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = C("doc_id") % 5
     good = F.to_json(F.struct("text", F.when(kind == 3, "top").otherwise("mid").alias("level")))
     line = F.when(kind == 0, F.lit("{no")).when(kind == 1, F.lit("[]")).when(kind == 2, F.to_json(F.struct(F.lit("mid").alias("level")))).otherwise(good)
-    folder = _text(spark, _docs(spark, sf_dir), line, ".jsonl", ["doc_id"])
-    found = jsonl.checked(spark, folder, "text string, level string", ["text", "level"], {"level": ["junior", "mid", "senior"]})
+    folder = _parts(spark, _docs(spark, sf_dir).select("doc_id", line.alias("line")), C("line"), ".jsonl", ["doc_id"])
+    found = jsonl.checked(spark, folder, "text string, level string", ["text", "level"], {"level": ["junior", "mid", "senior"]}, across=True)
     return found.select("line_number", "problem", F.when(C("problem").isNull(), F.md5("row.text")).alias("digest"))
 
 

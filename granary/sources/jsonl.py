@@ -13,8 +13,8 @@ from granary.operators.sampling import numbered
 RAW_DOCUMENT = "doc_id string, source string, source_url string, title string, date_collected date, date_published timestamp, content_type string, content_markdown string, metadata_json string, word_count bigint"
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file_path, line_number, value) of every line; the number is that in its file.
+def lines(spark: SparkSession, path: str, across: bool = False) -> DataFrame:
+    """(file_path, line_number, value) of every line; the number is that in its file, or across all files in name order.
 
     Files are read in splits like any others: a line's number is its place in its split after the lines of the file's
     splits before, which a first scan counts. Reading them again in the same session gives the same splits.
@@ -22,7 +22,7 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     found = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("_gr_at"), "value")
     found = found.withColumn("_gr_m", F.monotonically_increasing_id())
     sizes = found.groupBy("file_path", "_gr_at").agg(F.count("*").alias("n"), F.min("_gr_m").alias("_gr_first"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("file_path").orderBy("_gr_at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = F.coalesce(F.sum("n").over((Window.orderBy("file_path", "_gr_at") if across else Window.partitionBy("file_path").orderBy("_gr_at")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sizes = sizes.withColumn("_gr_before", before).drop("n")
     number = F.col("_gr_before") + F.col("_gr_m") - F.col("_gr_first") + 1
     return found.join(sizes, ["file_path", "_gr_at"]).select("file_path", number.alias("line_number"), F.regexp_replace("value", r"\r\z", "").alias("value"))
@@ -68,9 +68,12 @@ def template(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]
 
 
-def checked(spark: SparkSession, path: str, schema: str, required: list[str], choices: dict[str, list[str]] | None = None) -> DataFrame:
-    """(file_path, line_number, row, problem): each line that isn't blank, parsed, and what is wrong with it (null: nothing)."""
-    found = lines(spark, path).filter(F.trim("value") != "")
+def checked(spark: SparkSession, path: str, schema: str, required: list[str], choices: dict[str, list[str]] | None = None, across: bool = False) -> DataFrame:
+    """(file_path, line_number, row, problem): each line that isn't blank, parsed, and what is wrong with it (null: nothing).
+
+    across: lines are numbered through all files of a folder, as those of one that was written in parts.
+    """
+    found = lines(spark, path, across).filter(F.trim("value") != "")
     return found.select("file_path", "line_number", F.from_json("value", schema).alias("row"), problem(F.col("value"), schema, required, choices or {}).alias("problem"))
 
 
