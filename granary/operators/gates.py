@@ -32,8 +32,8 @@ def near_duplicates(rows: DataFrame, key: str, threshold: float = neardup.THRESH
     """decided rows with ``duplicate_or_near_duplicate`` added to those near a kept row of a higher score, ties by key."""
     eligible = rows.filter("quality_status <> 'rejected'")
     rank = F.struct((-F.coalesce("score_total", F.lit(0.0))).alias("s"), F.col(key).alias("k"))
-    pairs = neardup.similar_pairs(eligible.select(F.col(key).alias("key"), rank.alias("rank"), record_tokens(F.col("instruction"), F.col("final_answer")).alias("tokens")), threshold, neardup.LEAST_TOKENS)
-    gone = neardup.dropped(pairs).select(F.col("key").alias("_gr_key"), "kept_key")
+    compared = eligible.select(F.col(key).alias("key"), rank.alias("rank"), record_tokens(F.col("instruction"), F.col("final_answer")).alias("tokens"))
+    gone = neardup.dropped_rows(compared, threshold, neardup.LEAST_TOKENS).select(F.col("key").alias("_gr_key"), "kept_key")
     joined = rows.join(gone, F.col(key) == F.col("_gr_key"), "left")
     message = F.concat(F.lit("near duplicate of "), F.col("kept_key").cast("string"))
     return with_issue(joined, F.col("_gr_key").isNotNull(), R.issue("duplicate_or_near_duplicate", "reject", message)).drop("_gr_key", "kept_key")
