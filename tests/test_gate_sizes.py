@@ -2,7 +2,13 @@
 
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from granary.functions import indicators
 from granary.operators import neardup
+from granary.plans import gate
 
 
 def rows_of(spark, rows):
@@ -50,3 +56,20 @@ def test_class_pairs_lose_no_link_between_texts(spark):
 def test_copies_have_a_row_each_in_place_of_all_their_pairs(spark):
     rows = rows_of(spark, [(k, k, range(20)) for k in range(300)])
     assert sorted((r.a, r.b, r.jaccard) for r in neardup.class_pairs(rows, least_tokens=8).collect()) == [(0, k, 1.0) for k in range(1, 300)]
+
+
+@pytest.mark.parametrize("columns", [("category",), ("doc_id", "lang", "score_total")])
+def test_a_filter_on_status_does_not_evaluate_the_rules_again(spark, sf, columns):
+    times = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count(indicators.REGISTRY)
+    spark.conf.set("spark.sql.maxPlanStringLength", 1 << 26)
+    spark.conf.set("spark.sql.debug.maxToStringFields", 10_000)
+    rows = gate.decisions(spark, sf).select("quality_status", *columns)
+    assert 0 < times(gate.filtered(spark, sf, *columns)) == times(rows)
+
+
+def test_counts_of_issues_evaluate_the_rules_once(spark, sf):
+    times = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count(indicators.REGISTRY)
+    spark.conf.set("spark.sql.maxPlanStringLength", 1 << 26)
+    spark.conf.set("spark.sql.debug.maxToStringFields", 10_000)
+    rows = gate.decisions(spark, sf).select("quality_status", F.size("issues"))
+    assert 0 < times(entry.queries()["agg_03_issue_counts"](spark, sf)) == times(rows)
